@@ -1,0 +1,343 @@
+"""Labelled exemplars for template residue (problem 8).
+
+Fixed values: texts of the kinds that stand where content should stand, and
+texts that only speak of such things.  One exemplar a line.  Exemplars of one
+pattern are made by rule from their parts.
+"""
+
+from __future__ import annotations
+
+#: Names that templates give their slots; a slot in soft brackets must bear one.
+SLOT_NAMES = """
+company name
+company
+job title
+title
+position
+role
+city
+town
+location
+place
+address
+country
+dept
+department
+team
+employer
+hiring manager
+manager
+recruiter
+contact
+contact name
+first name
+last name
+full name
+name here
+email
+phone
+website
+url
+salary
+salary range
+pay range
+start date
+end date
+date
+deadline
+benefit
+benefits
+responsibilities
+requirements
+skills
+skill
+description
+text
+number
+amount
+industry
+reference
+Firmenname
+Firma
+Gehalt
+Ort
+Ort einfügen
+Datum
+Stelle
+Stellenbezeichnung
+Abteilung
+Name einfügen
+nombre de la empresa
+empresa
+ciudad
+puesto
+fecha
+sueldo
+insertar sueldo
+salario
+nom de l'entreprise
+entreprise
+salaire
+ville
+ville à compléter
+poste
+date de début
+à compléter
+"""
+
+#: Filler prose; a passage made of these words is filler.
+FILLER_WORDS = """
+lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna
+aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute
+irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non
+proident sunt culpa qui officia deserunt mollit anim id est laborum
+vadem tolor quasi merdum alectis poram nec ultima verro nullan dictis egest aenum lacinum morbit sedum pharet ornatis
+consequa velitus lectum porta dolorit amentur sapient tempis fados iuram praesum rhonca feugit blandus ultrice vel
+ipsumque
+"""
+
+FILLER = """
+lorem ipsum
+lorem ipsum dolor sit amet
+this is dummy copy to show the layout
+replace it with your own words
+this is placeholder text
+this is sample text
+dummy text dummy text
+sample text sample text
+your text here
+text goes here
+insert text here
+add your text here
+type your description here
+enter your description here
+description goes here
+content to be supplied
+content to be added
+content goes here
+content coming soon
+text to follow
+details to follow here
+blah blah blah
+more blah to follow
+tbd tbd tbd
+tba tba tba
+todo todo todo
+asdf asdf jkl
+asdf asdf asdf
+qwer qwer qwer
+test test test test
+foo bar baz foo
+xxx xxx xxx
+blindtext steht hier
+bis der richtige text kommt
+hier steht ein blindtext
+platzhaltertext platzhaltertext
+hier text einfügen
+text folgt in kürze
+inhalt folgt in kürze
+texto de relleno
+cambiar antes de publicar
+texto de ejemplo
+texto pendiente
+inserte aquí el texto
+texte à venir
+contenu à venir
+texte de remplissage
+texte à compléter
+insérer le texte ici
+ceci est un faux texte
+"""
+
+#: Values that stand where a template found nothing to fill in.
+EMPTY_VALUES = """
+undefined
+xxx
+"""
+
+ERROR_PAGES = """
+the page you asked for could not be found
+the page you requested could not be found
+the page you are looking for does not exist
+the page you are looking for could not be found
+this page could not be found
+page not found
+this page does not exist
+0 not found
+error 0
+0 bad gateway
+0 forbidden
+0 unauthorized
+0 gateway timeout
+0 internal server error
+internal server error
+bad gateway
+gateway timeout
+service temporarily unavailable
+service unavailable
+temporarily unavailable please try again
+access denied
+you do not have permission to view
+you do not have permission to access
+this listing is no longer available
+this job is no longer available
+this vacancy is no longer available
+this posting has expired
+this offer has expired
+the job you are looking for is no longer available
+your session has expired
+log in again to see this vacancy
+please log in to see this vacancy
+database connection failed
+error establishing a database connection
+fatal error uncaught exception in
+uncaught exception in at line 0
+request timed out after 0 ms
+the request timed out
+connection timed out
+the server did not answer in time
+the server did not respond in time
+something went wrong on our side
+something went wrong please try again
+oops something went wrong
+too many requests
+slow down and retry in 0 seconds
+we could not load this job
+we could not load this page
+the page could not be loaded
+this job could not be displayed
+this page could not be displayed
+this vacancy could not be displayed
+the link you followed is broken or out of date
+the file you are looking for has been removed
+the file you requested has been removed
+an unexpected condition stopped the request
+an unexpected error occurred
+an unexpected error has occurred
+an error occurred while processing your request
+an error has occurred
+your request was blocked
+your request has been blocked
+the vacancy service is down for maintenance
+the service is down for maintenance
+the site is down for maintenance
+we are down for maintenance
+seite nicht gefunden
+diese seite wurde nicht gefunden
+die seite wurde nicht gefunden
+die anzeige 0 existiert nicht mehr
+diese anzeige existiert nicht mehr
+diese anzeige ist nicht mehr verfügbar
+ein interner fehler ist aufgetreten
+ein unerwarteter fehler ist aufgetreten
+es ist ein fehler aufgetreten
+bitte später erneut versuchen
+bitte versuchen sie es später erneut
+zugriff verweigert
+der dienst ist vorübergehend nicht verfügbar
+ihre sitzung ist abgelaufen
+página no encontrada
+la página no existe
+la página que busca no existe
+ha ocurrido un error inesperado
+se ha producido un error
+vuelva al inicio
+acceso denegado
+servicio no disponible temporalmente
+esta oferta ya no está disponible
+su sesión ha caducado
+cette page est introuvable
+page introuvable
+erreur 0
+une erreur est survenue
+une erreur inattendue est survenue
+le service est momentanément indisponible
+le service est temporairement indisponible
+accès refusé
+cette offre n'est plus disponible
+votre session a expiré
+"""
+
+SCRIPT_NOTICES = """
+please enable javascript to view this page
+please enable javascript to continue
+please enable javascript in your browser
+enable javascript to view this page
+enable javascript and cookies to continue
+you need to enable javascript to run this app
+you need to turn on scripts in your browser
+you need to turn on scripts in your browser to run this app
+javascript is disabled
+javascript is disabled in your browser
+javascript is required
+javascript must be enabled
+javascript is not enabled
+scripts must be enabled
+scripts are disabled in your browser
+your browser does not support scripts
+your browser does not support javascript
+scripts or they have been blocked
+checking your browser
+scripts and cookies must be allowed to proceed
+if nothing shows up switch on js
+if nothing shows up switch on javascript
+bitte aktivieren sie javascript
+javascript ist deaktiviert
+diese seite benötigt javascript
+active javascript en su navegador
+active javascript para continuar
+habilite javascript en su navegador
+esta página requiere javascript
+veuillez activer javascript
+veuillez activer javascript pour afficher
+activez javascript pour continuer
+cette page nécessite javascript
+"""
+
+SCRIPT_SUBJECTS = ("page", "site", "app", "portal", "viewer", "board", "website")
+SCRIPT_VERBS = (
+    "needs", "requires", "relies on", "depends on", "cannot run without", "will not work without",
+    "does not work without", "works only with",
+)
+SCRIPT_NOUNS = ("js", "javascript", "scripts", "scripting")
+
+#: Texts that only speak of placeholders, filler, errors or scripts.
+MENTIONS = """
+you know how to fill templates such as {{ name }} in without leaving gaps
+experience with placeholders ($1, %s, ?) in statements
+debug templating engines that turn [x] into text
+data: arrays [0], maps {k: v}, generics List<Row>
+replace lorem ipsum in 10 mock-ups with copy from the desk
+you test test plans for
+our portal needs javascript skills and some
+experience with scripts and javascript
+write javascript that still works when scripts are switched off
+keep noscript fallbacks for the portal
+please enable colleagues to read results
+we count 404 staff in
+handle 404 and 500 errors in our gateway gracefully
+reduce 503 responses of by 15 percent
+explain why a page could not be found in search, and fix it
+build error pages that a tired person can read
+timeouts, retries, expired sessions: you have seen them all in
+catch every uncaught exception in before users see it
+some administration, error handling and retry logic
+pay: $9,000 [gross] (negotiable)
+size xxl server rooms, 100% renewable
+(m/f/d) [remote] full time
+"""
+
+
+def lines(block: str) -> list[str]:
+    return [line.strip() for line in block.strip().splitlines() if line.strip()]
+
+
+def residue_exemplars() -> list[tuple[str, str]]:
+    """``(label, text)`` of every residue exemplar but slots and filler prose."""
+    out = [("filler", x) for x in lines(FILLER)] + [("placeholder", x) for x in lines(EMPTY_VALUES)]
+    out += [("error page", x) for x in lines(ERROR_PAGES)] + [("scripts required", x) for x in lines(SCRIPT_NOTICES)]
+    out += [
+        ("scripts required", f"{subject} {verb} {noun}")
+        for subject in SCRIPT_SUBJECTS for verb in SCRIPT_VERBS for noun in SCRIPT_NOUNS
+    ]
+    return out
