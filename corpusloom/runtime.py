@@ -70,3 +70,9 @@ def spread(df: DataFrame, least: int | None = None) -> DataFrame:
 
 def cores() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
+
+
+def tasks(spark: SparkSession) -> int:
+    """Tasks for costly row functions after a shuffle: a number asked for by
+    count is kept, where adaptive execution would merge small partitions."""
+    return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
