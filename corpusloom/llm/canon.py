@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.surface import fold_key
-from corpusloom.runtime import spread
+from corpusloom.runtime import tasks, written
 
 _WORD = re.compile(r"[^\W_]+")
 _NUMBER = re.compile(r"v?\d+")
@@ -223,23 +223,26 @@ class CanonicalMatcher:
         if not lists:
             return None
         shared = np.bincount(np.concatenate(lists), minlength=len(self.long))
-        # One edit spoils at most three letter pairs, a moved word one more.
-        enough = (shared >= self.gram_counts - 3 * most - self.word_counts) & (abs(self.lengths - len(text)) <= most)
+        lost = self.gram_counts - shared - self.word_counts
+        apart = abs(self.lengths - len(text))
         known = [w for w in words if w in self.vocabulary and len(w) > 3]
         orders = ["".join(p) for p in itertools.permutations(words)] if 1 < len(words) <= 3 else [text]
-        scored: list[tuple[int, int]] = []
-        for i in np.flatnonzero(enough):
-            names, key, name = self.long[i]
-            if any(w not in names for w in known):
-                continue
-            gap = min(edit_distance(o, name, most) for o in orders)
-            if gap <= most:
-                scored.append((gap, key))
-        if not scored:
-            return None
-        low = min(gap for gap, _ in scored)
-        keys = {key for gap, key in scored if gap == low}
-        return keys.pop() if len(keys) == 1 else None
+        # Deeper only while nothing is found: one edit spoils at most three
+        # letter pairs, a moved word one more, so each depth sees all its names.
+        for depth in range(1, most + 1):
+            keys: dict[int, int] = {}
+            for i in np.flatnonzero((lost <= 3 * depth) & (apart <= depth)):
+                names, key, name = self.long[i]
+                if any(w not in names for w in known):
+                    continue
+                gap = min(edit_distance(o, name, depth) for o in orders)
+                if gap <= depth:
+                    keys[key] = min(gap, keys.get(key, gap))
+            if keys:
+                low = min(keys.values())
+                best = [key for key, gap in keys.items() if gap == low]
+                return best[0] if len(best) == 1 else None
+        return None
 
     def _unrun(self, word: str) -> str:
         """A value written without blanks, less the frame at its ends."""
@@ -305,8 +308,11 @@ def map_values(
 
     Rows with a null value are left out; empty and meaningless values give
     ``-1``; repeated rows come as often as they stand there; entries with a null
-    id or name are no target; an empty list maps everything to ``-1``.  The
-    rows are not shuffled: each task keeps the answers of its distinct values.
+    id or name are no target; an empty list maps everything to ``-1``.
+
+    Every distinct value is looked at once.  The answers meet the rows in a
+    join on the value, which Spark broadcasts while they are small and splits
+    adaptively where a value is hot.
     """
     names = entries.select(
         F.col(entry_id).alias("k"), F.col(name).alias("n"),
@@ -322,9 +328,9 @@ def map_values(
         matcher = None
         for batch in batches:
             matcher = matcher or CanonicalMatcher(listed.value)
-            yield pd.DataFrame({"r": batch["r"], "e": [matcher.match(v) for v in batch["v"]]})
+            yield pd.DataFrame({"v": batch["v"], "e": [matcher.match(v) for v in batch["v"]]})
 
-    kinds = dict(df.dtypes)[row_id], dict(entries.dtypes)[entry_id]
-    given = df.select(F.col(row_id).alias("r"), F.col(value).alias("v"))
-    found = spread(given).where(F.col("v").isNotNull()).mapInPandas(run, f"r {kinds[0]}, e {kinds[1]}")
-    return found.select(F.col("r").alias(row_id), F.col("e").alias(entry_id))
+    kinds = dict(df.dtypes)[value], dict(entries.dtypes)[entry_id]
+    given = df.select(F.col(row_id).alias("r"), F.col(value).alias("v")).where(F.col("v").isNotNull())
+    answers = written(given.select("v").distinct().repartition(tasks(df.sparkSession)).mapInPandas(run, f"v {kinds[0]}, e {kinds[1]}"), "answers")
+    return given.join(answers, "v").select(F.col("r").alias(row_id), F.col("e").alias(entry_id))
