@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from corpusloom.queries import registry
 
-from pyspark.sql import DataFrame, SparkSession
 
-
-def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def core_queries() -> dict[str, registry.Query]:
+    _load()
+    return dict(registry.QUERIES)
 
 
 def core_oracles() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(registry.SQL)
+
+
+def _load() -> None:
+    from corpusloom.queries import analytics, governance, graphs, strings  # noqa: F401
