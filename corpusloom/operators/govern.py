@@ -158,8 +158,8 @@ def category_votes(runs: DataFrame, key: str, enough: int = 2, most: int = 2) ->
         F.count_if("unassigned").alias("off"),
         F.countDistinct(F.when(F.col("unassigned"), F.lit("U")).otherwise(F.array_join(F.array_sort("categories"), "+"))).alias("kinds"),
     )
-    votes = assigned.select(key, F.explode(F.array_distinct("categories")).alias("c")).groupBy(key, "c").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)
-    accepted = votes.groupBy(key).agg(F.array_sort(F.collect_list("c")).alias("accepted"))
+    votes = assigned.select(key, F.explode(F.array_distinct("categories")).alias("_c")).groupBy(key, "_c").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)
+    accepted = votes.groupBy(key).agg(F.array_sort(F.collect_list("_c")).alias("accepted"))
     primaries = assigned.where(F.col("primary").isNotNull()).groupBy(key, "primary").agg(F.count(F.lit(1)).alias("n"), F.min("run").alias("first"))
     primary = primaries.groupBy(key).agg(F.max_by("primary", F.struct("n", -F.col("first"))).alias("p"))
     none = F.array().cast("array<string>")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """``spark`` with this package sent to its workers, once per context, so that
+    row functions run where it isn't installed."""
+    context = spark.sparkContext
+    if not getattr(context, "_corpusloom_shipped", False):
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="corpusloom-")) / "corpusloom.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for path in sorted(root.rglob("*.py")):
+                z.write(path, path.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        context._corpusloom_shipped = True
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
@@ -50,7 +67,7 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     Cuts the lineage, survives the loss of executors, and makes a result that
     several later steps read be computed once.
     """
-    spark = df.sparkSession
+    spark = shipped(df.sparkSession)
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.runtime import shipped
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The table ``name`` of ``folder``; columns are pruned by the plan."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return shipped(spark).read.parquet(f"{folder}/{name}.parquet")
