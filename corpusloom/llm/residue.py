@@ -242,10 +242,13 @@ def residue(df: DataFrame, row_id: str, text: str) -> DataFrame:
     """``(row_id, label)`` of every text with template residue in it.
 
     Labels: ``placeholder``, ``filler``, ``error page``, ``scripts required``.
-    Null, empty and merely short texts have none; repeated rows come as often
-    as they stand there; whole texts are read; an empty table gives no rows.
+    Null, empty and merely short texts have none; rows with a null id are left
+    out; repeated rows come as often as they stand there; whole texts are read;
+    an empty table gives no rows; other columns are ignored.
     """
-    rows = spread(df.select(F.col(row_id).alias("d"), F.col(text).alias("t"))).where(F.col("t").isNotNull())
+    rows = spread(df.select(F.col(row_id).alias("d"), F.col(text).alias("t"))).where(
+        F.col("d").isNotNull() & F.col("t").isNotNull()
+    )
     exemplars = Exemplars()
     frequency, texts = feature_frequency(rows.select("t"), exemplars)
     finder = df.sparkSession.sparkContext.broadcast(ResidueFinder(frequency, texts, exemplars))
@@ -261,8 +264,8 @@ def residue(df: DataFrame, row_id: str, text: str) -> DataFrame:
 
 
 def without_residue(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """Rows of ``df`` whose text shows no residue; all columns are kept."""
-    marked = residue(df.where(F.col(row_id).isNotNull()), row_id, text).select(F.col(row_id).alias("_residue_id")).distinct()
+    """Rows of ``df`` whose text shows no residue; all columns and rows without an id are kept."""
+    marked = residue(df, row_id, text).select(F.col(row_id).alias("_residue_id")).distinct()
     return df.join(marked, df[row_id] == marked["_residue_id"], "left_anti")
 
 

@@ -101,9 +101,12 @@ def fold_key(text: str | None) -> str | None:
 
 
 def _per_distinct(values: pd.Series, function) -> pd.Series:
-    codes, distinct = pd.factorize(values, use_na_sentinel=True)
-    out = pd.array([function(v) for v in distinct] + [None], dtype=object)
-    return pd.Series(out[codes], index=values.index)
+    # A plain dictionary: the hash tables of pandas end a text at its first NUL.
+    known = {None: None}
+    for v in values:
+        if v not in known:
+            known[v] = function(v)
+    return pd.Series([known[v] for v in values], index=values.index, dtype=object)
 
 
 @F.pandas_udf(T.StringType())

@@ -77,22 +77,26 @@ def text_suffixes(text: str, longest: int) -> list[tuple[str, int]]:
 def _make_suffixes(longest: int | None):
     """Rows ``(v, w)`` to combined suffix runs; ``longest`` None: whole values only."""
 
+    # Plain dictionaries: the hash tables of pandas end a text at its first NUL.
     def combine(frames: list[pd.DataFrame]) -> pd.DataFrame:
-        rows = pd.concat(frames, ignore_index=True).groupby("v", sort=False)["w"].agg(["sum", "size"]).reset_index()
-        if longest is None:
-            return pd.DataFrame(
-                {
-                    "suffix": [GAP.join(_escape(t) for t in v.split(" ")) if " " in v else _escape(v) for v in rows["v"]],
-                    "whole": True, "seen": 0, "total": rows["sum"], "rows": rows["size"],
-                }
-            )
-        made = [
-            (suffix, False, seen, total, size)
-            for v, total, size in zip(rows["v"], rows["sum"], rows["size"])
-            for suffix, seen in text_suffixes(v, longest)
-        ]
-        out = pd.DataFrame(made, columns=["suffix", "whole", "seen", "total", "rows"])
-        return out.groupby(["suffix", "whole", "seen"], sort=False, as_index=False).sum()
+        values: dict[str, list[int]] = {}
+        for frame in frames:
+            for v, w in zip(frame["v"], frame["w"]):
+                seen = values.setdefault(v, [0, 0])
+                seen[0] += w
+                seen[1] += 1
+        sums: dict[tuple[str, int], list[int]] = {}
+        for v, (total, size) in values.items():
+            if longest is None:
+                made = [(GAP.join(_escape(t) for t in v.split(" ")), 0)]
+            else:
+                made = text_suffixes(v, longest)
+            for key in made:
+                entry = sums.setdefault(key, [0, 0])
+                entry[0] += total
+                entry[1] += size
+        rows = [(suffix, longest is None, seen, total, size) for (suffix, seen), (total, size) in sums.items()]
+        return pd.DataFrame(rows, columns=["suffix", "whole", "seen", "total", "rows"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -116,15 +120,16 @@ def _count_prefixes(least: int, whole_only: bool):
         path: list[str] = []
         # Per depth: total, rows, rows not new below this depth, whole total, whole rows.
         stack: list[list[int]] = []
-        first: list[str] | None = None
+        like_first = -1  # terms that the path shares with the partition's first suffix
         out: list[tuple] = []
 
         def pop(last: bool) -> None:
             total, rows, stop, whole_total, whole_rows = stack.pop()
             depth = len(path)
             rows -= stop
-            open_ = last or path == first[:depth]
-            if whole_rows or (open_ and whole_only) or (not whole_only and (rows >= least or open_)):
+            # Equal values meet in one partition, so whole values are never open.
+            open_ = not whole_only and (last or depth <= like_first)
+            if whole_rows or open_ or (not whole_only and rows >= least):
                 out.append((GAP.join(path), depth, total, rows, whole_total, whole_rows, open_))
             path.pop()
             if stack:
@@ -136,11 +141,10 @@ def _count_prefixes(least: int, whole_only: bool):
                 batch["suffix"], batch["whole"], batch["seen"], batch["total"], batch["rows"]
             ):
                 terms = suffix.split(GAP)
-                if first is None:
-                    first = terms
                 common = _shared(path, terms)
                 while len(path) > common:
                     pop(False)
+                like_first = len(terms) if like_first < 0 else min(like_first, common)
                 while len(path) < len(terms):
                     path.append(terms[len(path)])
                     stack.append([0, 0, 0, 0, 0])
@@ -179,6 +183,8 @@ def _counted(rows: DataFrame, longest: int | None, least: int) -> DataFrame:
         .mapInPandas(_count_prefixes(least, longest is None), _COUNTED)
     )
     parts = written(parts, "counted")
+    if longest is None:
+        return parts.drop("open")
     sums = [F.sum(c).alias(c) for c in ("total", "rows", "whole_total", "whole_rows")]
     edge = parts.where("open").groupBy("gram", "n").agg(*sums)
     return parts.where(~F.col("open")).drop("open").unionByName(edge)
