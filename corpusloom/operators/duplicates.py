@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text
 from corpusloom.operators.components import components
-from corpusloom.runtime import written
+from corpusloom.runtime import spread, written
 
 
 def long_enough(df: DataFrame, body: str, least: int = 200) -> DataFrame:
@@ -16,7 +16,8 @@ def long_enough(df: DataFrame, body: str, least: int = 200) -> DataFrame:
 
 def exact_classes(df: DataFrame, row_id: str, body: str) -> DataFrame:
     """``(row_id, class_id)``: the smallest id among rows of the same folded text."""
-    rows = df.select(F.col(row_id).alias("d"), F.sha2(text.evidence_flatten(F.col(body)), 256).alias("h")).where(F.col("h").isNotNull())
+    texts = spread(df.select(F.col(row_id).alias("d"), F.col(body).alias("t")))
+    rows = written(texts.select("d", F.sha2(text.evidence_flatten(F.col("t")), 256).alias("h")).where(F.col("h").isNotNull()), "hashes")
     heads = rows.groupBy("h").agg(F.min("d").alias("class_id"))
     return rows.join(heads, "h").select(F.col("d").alias(row_id), "class_id")
 
@@ -41,7 +42,7 @@ def near_classes(df: DataFrame, row_id: str, body: str, words: int = 5, least: f
     """
     exact = written(exact_classes(df, row_id, body), "exact")
     heads = exact.where(F.col(row_id) == F.col("class_id")).select(F.col(row_id).alias("d"))
-    reps = written(shingles(df.select(F.col(row_id).alias("d"), body).join(heads, "d", "left_semi"), body, words).select("d", "s"), "shingles")
+    reps = written(shingles(spread(df.select(F.col(row_id).alias("d"), body)).join(heads, "d", "left_semi"), body, words).select("d", "s"), "shingles")
     single = reps.select("d", F.size("s").alias("n"), F.explode("s").alias("h"))
     held = single.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") > 1)
     # Shingles of one text only sort first and join nobody, so they only move the ranks.

@@ -242,7 +242,7 @@ out AS (
 @query(_EXPORT + "SELECT * FROM out")
 def graph_export_nodes(spark: SparkSession, d: str) -> DataFrame:
     """Node rows of the export."""
-    concept_rates = cells.penetration(m.facts(spark, d), m.ads(spark, d), None, ("concept",)).where(F.col("year") == m.TARGET)
+    concept_rates = m.rates(spark, d, ("concept",)).where(F.col("year") == m.TARGET)
     nodes = graph_nodes(spark, d).select("occupation", "concept_id")
     return adjacency.export_nodes(nodes, written(m.graph_edges(spark, d), "edges"), m.dims(spark, d), m.facets(spark, d), concept_rates)
 
@@ -264,7 +264,9 @@ LOOSE_Z = 0.674489750196082
 
 
 def _anchors(spark: SparkSession, d: str) -> DataFrame:
-    return adjacency.replacement_anchors(written(m.changes(spark, d), "changes"), written(m.edges(spark, d), "edges"), m.BASE, m.TARGET, None, 0.10, LOOSE_Z)
+    facts = m.kept_facts(spark, d)
+    changes, edges = m.changes(spark, d, ("concept",), facts), m.edges(spark, d, True, facts)
+    return adjacency.replacement_anchors(written(changes, "changes"), written(edges, "edges"), m.BASE, m.TARGET, None, 0.10, LOOSE_Z)
 
 
 _ANCHORS = m.SQL_CHANGES + m.SQL_EDGES + f""",
@@ -307,7 +309,7 @@ def replacement_top12(spark: SparkSession, d: str) -> DataFrame:
 SELECT year, occupation, key, rate, CAST(k AS INTEGER) AS "rank" FROM r WHERE k <= 10""")
 def top_concepts_per_occ(spark: SparkSession, d: str) -> DataFrame:
     """Ten concepts of highest rate per cell."""
-    rows = cells.penetration(m.facts(spark, d), m.ads(spark, d), None, ("concept",)).select(*CELL, "key", "rate")
+    rows = m.rates(spark, d, ("concept",)).select(*CELL, "key", "rate")
     return ranking.top_rows(rows, CELL, 10, F.desc("rate"), "key")
 
 
@@ -315,7 +317,7 @@ def top_concepts_per_occ(spark: SparkSession, d: str) -> DataFrame:
 SELECT occupation, key, diff, z, significant, CAST(k AS INTEGER) AS "rank" FROM r WHERE k <= 10""")
 def top_changes_per_occ(spark: SparkSession, d: str) -> DataFrame:
     """Ten strongest category changes per occupation."""
-    rows = m.changes(spark, d).where((F.col("grain") == "category") & F.col("diff").isNotNull()).select("occupation", "key", "diff", "z", "significant")
+    rows = m.changes(spark, d, ("category",)).where((F.col("grain") == "category") & F.col("diff").isNotNull()).select("occupation", "key", "diff", "z", "significant")
     return ranking.top_rows(rows, ["occupation"], 10, F.desc(F.abs("diff")), "key")
 
 
@@ -324,14 +326,14 @@ def top_changes_per_occ(spark: SparkSession, d: str) -> DataFrame:
 SELECT occupation, direction, key, diff, CAST(k AS INTEGER) AS "rank" FROM r WHERE k <= 6""")
 def top_movers(spark: SparkSession, d: str) -> DataFrame:
     """Six fallers and six risers per occupation."""
-    return ranking.movers(m.changes(spark, d).where(F.col("grain") == "concept"), ["occupation"], 6).select("occupation", "direction", "key", "diff", "rank")
+    return ranking.movers(m.changes(spark, d, ("concept",)), ["occupation"], 6).select("occupation", "direction", "key", "diff", "rank")
 
 
 @query(f"""WITH {m.SQL_CHANGES} SELECT occupation, key, rate_base, rate_target, diff, CASE WHEN diff >= 0.03::DOUBLE THEN 'up' WHEN diff <= -0.03::DOUBLE THEN 'down' ELSE 'level' END AS arrow
 FROM changes WHERE grain = 'concept' AND greatest(rate_base, rate_target) >= 0.04::DOUBLE""")
 def risers_fallers(spark: SparkSession, d: str) -> DataFrame:
     """Concepts worth showing, with an arrow."""
-    return ranking.arrows(m.changes(spark, d).where(F.col("grain") == "concept")).select("occupation", "key", "rate_base", "rate_target", "diff", "arrow")
+    return ranking.arrows(m.changes(spark, d, ("concept",))).select("occupation", "key", "rate_base", "rate_target", "diff", "arrow")
 
 
 _MATRIX = ["data_generalist", "forecast_engineer", "records_analyst"]
@@ -341,7 +343,7 @@ _MATRIX = ["data_generalist", "forecast_engineer", "records_analyst"]
 FROM rates WHERE grain = 'category' AND year = '{m.TARGET}' GROUP BY key""")
 def category_matrix_pivot(spark: SparkSession, d: str) -> DataFrame:
     """Categories against occupations."""
-    rows = cells.penetration(m.facts(spark, d), m.ads(spark, d), None, ("category",)).where(F.col("year") == m.TARGET)
+    rows = m.rates(spark, d, ("category",)).where(F.col("year") == m.TARGET)
     return ranking.matrix(rows, "key", "occupation", "rate", _MATRIX)
 
 
@@ -351,7 +353,7 @@ SELECT key, high, CASE WHEN present < n THEN 0.0::DOUBLE ELSE low0 END AS low, p
 FROM s, o WHERE present >= 5 ORDER BY spread DESC, key LIMIT 12""")
 def spread_top12(spark: SparkSession, d: str) -> DataFrame:
     """Concepts that differ most between occupations."""
-    rows = cells.penetration(m.facts(spark, d), m.ads(spark, d), None, ("concept",)).where(F.col("year") == m.TARGET)
+    rows = m.rates(spark, d, ("concept",)).where(F.col("year") == m.TARGET)
     groups = m.ads(spark, d).where(F.col("year") == m.TARGET).count()
     return ranking.spread(rows, "key", "occupation", "rate", groups, 5, 12)
 
@@ -361,7 +363,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY rate DESC, lab
 SELECT category, string_agg(label, ', ' ORDER BY n) AS top_labels FROM k WHERE n <= 5 GROUP BY category""")
 def top5_labels_per_category(spark: SparkSession, d: str) -> DataFrame:
     """The five concepts of highest rate per category."""
-    rows = cells.penetration(m.facts(spark, d), m.ads(spark, d), None, ("concept",)).select(F.col("key").alias("concept_id"), "rate")
+    rows = m.rates(spark, d, ("concept",)).select(F.col("key").alias("concept_id"), "rate")
     named = rows.join(m.dims(spark, d), "concept_id").where(F.col("primary_category") != "").select(F.col("primary_category").alias("category"), F.col("concept_id").alias("label"), "rate")
     return ranking.top_labels(named, "category", "label", "rate", 5)
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators import adjacency, cells
+from corpusloom.runtime import written
 from corpusloom.sources.tables import table
 
 BASE, TARGET = "2021", "2026"
@@ -58,20 +59,29 @@ def facts(spark: SparkSession, d: str) -> DataFrame:
     return cells.with_dims(cells.posting_concepts(mentions(spark, d)), dims(spark, d))
 
 
-def rates(spark: SparkSession, d: str) -> DataFrame:
-    return cells.penetration(facts(spark, d), ads(spark, d), facets(spark, d))
+GRAINS = ("concept", "category", "type", "facet")
 
 
-def changes(spark: SparkSession, d: str) -> DataFrame:
-    return cells.change_tests(rates(spark, d), ads(spark, d), BASE, TARGET)
+def kept_facts(spark: SparkSession, d: str) -> DataFrame:
+    """The fact table, written once for the several branches that read it."""
+    return written(facts(spark, d), "facts")
+
+
+def rates(spark: SparkSession, d: str, grains: tuple[str, ...] = GRAINS, table_: DataFrame | None = None) -> DataFrame:
+    return cells.penetration(kept_facts(spark, d) if table_ is None else table_, ads(spark, d), facets(spark, d), grains)
+
+
+def changes(spark: SparkSession, d: str, grains: tuple[str, ...] = GRAINS, table_: DataFrame | None = None) -> DataFrame:
+    return cells.change_tests(rates(spark, d, grains, table_), ads(spark, d), BASE, TARGET)
 
 
 def countable(spark: SparkSession, d: str) -> DataFrame:
-    return adjacency.countable(facts(spark, d))
+    return adjacency.countable(kept_facts(spark, d))
 
 
-def edges(spark: SparkSession, d: str, prune: bool = True) -> DataFrame:
-    pairs = adjacency.joint_counts(countable(spark, d), ads(spark, d), prune)
+def edges(spark: SparkSession, d: str, prune: bool = True, table_: DataFrame | None = None) -> DataFrame:
+    used = adjacency.countable(kept_facts(spark, d) if table_ is None else table_)
+    pairs = adjacency.joint_counts(used, ads(spark, d), prune)
     return adjacency.flagged(adjacency.measured(pairs), TARGET).drop("_lift", "_geo")
 
 
