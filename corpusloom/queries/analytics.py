@@ -203,6 +203,12 @@ def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
     return adjacency.graph_nodes(m.countable(spark, d), m.ads(spark, d), m.TARGET)
 
 
+def _graph(spark: SparkSession, d: str, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of the graph from one fact table."""
+    nodes = adjacency.graph_nodes(adjacency.countable(facts), m.ads(spark, d), m.TARGET)
+    return nodes.select("occupation", "concept_id"), m.edges(spark, d, True, facts).where(F.col("passes_graph") == 1)
+
+
 _DEGREE = f"""WITH {m.SQL_FACTS}{m.SQL_EDGES},
 ends AS (SELECT occupation, concept_a AS c, concept_b AS o FROM graph UNION ALL SELECT occupation, concept_b, concept_a FROM graph),
 deg AS (SELECT occupation, c AS concept_id, count(*) AS degree FROM ends GROUP BY ALL)
@@ -212,7 +218,8 @@ deg AS (SELECT occupation, c AS concept_id, count(*) AS degree FROM ends GROUP B
 @query(_DEGREE + "SELECT n.occupation, n.concept_id, coalesce(d.degree, 0) AS degree FROM nodes n LEFT JOIN deg d USING (occupation, concept_id)")
 def graph_degree(spark: SparkSession, d: str) -> DataFrame:
     """Edges at each node."""
-    return adjacency.degrees(graph_nodes(spark, d).select("occupation", "concept_id"), m.graph_edges(spark, d), ["occupation"])
+    nodes, edges = _graph(spark, d, m.kept_facts(spark, d))
+    return adjacency.degrees(nodes, edges, ["occupation"])
 
 
 @query(f"""WITH {m.SQL_FACTS}{m.SQL_EDGES} SELECT year, occupation, source, string_agg(target, '|' ORDER BY target) AS neighbours FROM (
@@ -242,9 +249,10 @@ out AS (
 @query(_EXPORT + "SELECT * FROM out")
 def graph_export_nodes(spark: SparkSession, d: str) -> DataFrame:
     """Node rows of the export."""
-    concept_rates = m.rates(spark, d, ("concept",)).where(F.col("year") == m.TARGET)
-    nodes = graph_nodes(spark, d).select("occupation", "concept_id")
-    return adjacency.export_nodes(nodes, written(m.graph_edges(spark, d), "edges"), m.dims(spark, d), m.facets(spark, d), concept_rates)
+    facts = m.kept_facts(spark, d)
+    concept_rates = m.rates(spark, d, ("concept",), facts).where(F.col("year") == m.TARGET)
+    nodes, edges = _graph(spark, d, facts)
+    return adjacency.export_nodes(nodes, written(edges, "edges"), m.dims(spark, d), m.facets(spark, d), concept_rates)
 
 
 @query(f"WITH {m.SQL_FACTS}{m.SQL_EDGES} SELECT occupation, concept_a AS source, concept_b AS target, geo_mean_conf AS weight, lift FROM graph")
@@ -256,7 +264,7 @@ def graph_export_edges(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {m.SQL_FACTS}{m.SQL_EDGES} SELECT n.occupation, n.nodes, coalesce(e.edges, 0) AS edges FROM (SELECT occupation, count(*) AS nodes FROM nodes GROUP BY occupation) n LEFT JOIN (SELECT occupation, count(*) AS edges FROM graph GROUP BY occupation) e USING (occupation)")
 def graph_index(spark: SparkSession, d: str) -> DataFrame:
     """Nodes and edges per occupation."""
-    return adjacency.export_index(graph_nodes(spark, d), m.graph_edges(spark, d))
+    return adjacency.export_index(*_graph(spark, d, m.kept_facts(spark, d)))
 
 
 #: A looser test than the default, so that the small tables have cases.
