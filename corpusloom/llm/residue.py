@@ -6,7 +6,8 @@ and name.  Each text is cut into passage windows (its lines and sentences); a
 window retrieves the exemplars that share one of their weightiest features, and
 an exemplar counts when its TF-IDF containment in the window is high.
 Exemplars of the label ``mention`` (texts that only speak of such things) go
-first and take the features they explain out of the window.
+first and take the features they explain out of the window.  A line that only
+repeats one word or short phrase is filler whatever its wording.
 
 Inverse document frequencies come from the whole corpus, in one pass before the
 search; only the counts of exemplar features, a set of fixed size, are
@@ -35,6 +36,8 @@ CONTAINMENT = 0.8
 EXPLAINED = 0.65
 #: Share of filler words (by weight) that makes a passage filler, and the least number of them.
 FILLER_SHARE, FILLER_LEAST = 0.75, 3
+#: Copies of one phrase, and most words of it, that make a line of nothing else filler.
+REPEATS, REPEATED_WORDS = 3, 5
 #: Words of a window; longer lines are cut, overlapping by a third.
 WINDOW = 60
 
@@ -62,6 +65,10 @@ def _slot_pattern() -> str:
 _TOKEN = re.compile(rf"(?P<slot>{_slot_pattern()})|(?P<format>%[sd]\b)|(?P<number>\d+)|(?P<word>[^\W\d_]+)")
 _INNER = re.compile(r"[A-ZÀ-Þ]?[^\W\d_A-Z]+|[A-Z]+(?![a-z])|\d+")
 _CROSSED = re.compile(r"x{3,}")
+_LINE = re.compile(r"[\n\r]+")
+_NUMBERED = re.compile(r"[\W_]*\d+[.):]\s")
+_LETTERS = re.compile(r"[^\W\d_]+")
+_DIGIT = re.compile(r"\d")
 
 
 def _slot_features(slot: str) -> list[str]:
@@ -76,12 +83,32 @@ def _slot_features(slot: str) -> list[str]:
     return []
 
 
-def windows(text: str, size: int = WINDOW) -> Iterator[list[str]]:
-    """Token lists of the passages of a text; a slot is several tokens that start with a mark."""
+def _shown(text: str) -> str:
+    """The text without unseen characters and markup."""
     if not text.isascii():
         text = unicodedata.normalize("NFC", _UNSEEN.sub("", text))
-    if "<" in text:
-        text = _TAGS.sub("\n", text)
+    return _TAGS.sub("\n", text) if "<" in text else text
+
+
+def repeats(line: str) -> bool:
+    """Whether a line, less its list number, only repeats one phrase of 3 letters or more; no other digits."""
+    numbered = _NUMBERED.match(line)
+    words = _LETTERS.findall(line[numbered.end() :] if numbered else line)
+    if len(words) < REPEATS or _DIGIT.search(line, numbered.end() if numbered else 0):
+        return False
+    words = [w.casefold() for w in words]
+    for n in range(1, min(REPEATED_WORDS, len(words) // REPEATS) + 1):
+        if words[n:] == words[:-n]:
+            return sum(map(len, words[:n])) >= 3
+    return False
+
+
+def windows(text: str, size: int = WINDOW) -> Iterator[list[str]]:
+    """Token lists of the passages of a text; a slot is several tokens that start with a mark."""
+    yield from _windows(_shown(text), size)
+
+
+def _windows(text: str, size: int = WINDOW) -> Iterator[list[str]]:
     for passage in _BREAK.split(text):
         tokens: list[str] = []
         for m in _TOKEN.finditer(passage):
@@ -201,12 +228,15 @@ class ResidueFinder:
         return "filler" if self._filler(tokens) else None
 
     def find(self, text: str | None) -> str | None:
-        """Label of the first residue window of a text."""
+        """Label of the first residue window of a text, else of its repeating lines."""
         if text:
-            for tokens in windows(text):
+            text = _shown(text)
+            for tokens in _windows(text):
                 label = self.label(tokens)
                 if label:
                     return label
+            if any(map(repeats, _LINE.split(text))):
+                return "filler"
         return None
 
 

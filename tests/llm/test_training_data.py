@@ -304,3 +304,14 @@ def test_residue_table(spark):
     left = residue.without_residue(df, "d", "t")
     assert left.columns == df.columns and left.count() == len(CONTENT) + 2
     assert residue.residue(df.limit(0), "d", "t").count() == 0
+
+
+def test_filler_of_any_wording():
+    filler = [
+        "Beispieltext Beispieltext Beispieltext", "Profile\n1. Mustertext Mustertext", "2) Proefzin proefzin, PROEFZIN", "Zde bude text. Zde bude text. Zde bude text.\nWe look after rail sites.",
+        "Pellentesque habitant morbi tristique senectus et netus et malesuada fames", "At vero eos et accusamus et iusto odio dignissimos ducimus",
+    ]
+    content = ["\t\tcol1\tcol2\t\tcol3", "go go go rail sites", "0 0 0 0", "x x x", "Duties duties", "Error at id 5", "Schreiben Sie einen Beispieltext für Foo"]
+    labels = residue.label_all(filler + content * 3)
+    assert labels[: len(filler)] == ["filler"] * len(filler)
+    assert [t for t, label in zip(content, labels[len(filler) :]) if label is not None] == []
