@@ -54,15 +54,12 @@ _TAGS = re.compile(r"</?(?:" + "|".join(_HTML) + r")(?:\s[^<>]*)?/?>|<\|[a-z]+\|
 _BREAK = re.compile(r"[\n\r|;]+|(?<=[.!?…])\s+|\s//\s")
 
 
-def _slot_pattern() -> str:
-    parts = []
-    for opening, closing, _ in _SLOTS:
-        inner = r"(?:(?!" + re.escape(closing) + r")[^\n]){1,60}?"
-        parts.append(re.escape(opening) + inner + re.escape(closing))
-    return "|".join(parts)
-
-
-_TOKEN = re.compile(rf"(?P<slot>{_slot_pattern()})|(?P<format>%[sd]\b)|(?P<number>\d+)|(?P<word>[^\W\d_]+)")
+# A slot is found on its whole line and then stands in it as one sign.
+_SIGN = "\ue000"
+_OPENING = re.compile("|".join(re.escape(opening) for opening, _, _ in _SLOTS))
+_TOKEN = re.compile(rf"(?P<slot>{_SIGN})|(?P<format>%[sd]\b)|(?P<number>\d+)|(?P<word>[^\W\d_]+)")
+#: Soft brackets around more than this, or around a passage end, are read as text too.
+_SHORT = 60
 _INNER = re.compile(r"[A-ZÀ-Þ]?[^\W\d_A-Z]+|[A-Z]+(?![a-z])|\d+")
 _CROSSED = re.compile(r"x{3,}")
 _LINE = re.compile(r"[\n\r]+")
@@ -76,7 +73,7 @@ def _slot_features(slot: str) -> list[str]:
     for opening, closing, _ in _SLOTS:
         if slot.startswith(opening) and slot.endswith(closing):
             inner = slot[len(opening) : len(slot) - len(closing)].strip(" =-")
-            if opening in ("<", "[", "{") and inner[:1] in "/!?":
+            if opening in ("<", "[", "{") and inner[:1] in "/!?" or slot.startswith("<|"):
                 return []
             words = [w.casefold() for w in _INNER.findall(inner)]
             return [f"slot {opening}", *(f"in {'0' if w.isdigit() else w}" for w in words)] if words else []
@@ -108,8 +105,57 @@ def windows(text: str, size: int = WINDOW) -> Iterator[list[str]]:
     yield from _windows(_shown(text), size)
 
 
+def _cut_slots(line: str, soft_text: bool) -> tuple[str, list[str], bool]:
+    """The line with a sign for each slot, the slots, and whether one in soft brackets may be text.
+
+    A slot ends at its first closing sign, on the same line.  ``soft_text``:
+    those that may be text stay in the line.
+    """
+    parts: list[str] = []
+    slots: list[str] = []
+    may_be_text = False
+    closed: dict[str, int] = {}
+    at = done = 0
+    while m := _OPENING.search(line, at):
+        start = m.start()
+        at = start + 1
+        for opening, closing, hard in _SLOTS:
+            if not line.startswith(opening, start):
+                continue
+            inside = start + len(opening)
+            # Each closing sign is looked for once up to its next place, so a line is read in linear time.
+            if -1 < closed.get(closing, 0) < inside:
+                closed[closing] = line.find(closing, inside)
+            end = closed.get(closing, -1)
+            if end <= inside:
+                continue
+            if not hard and (end - inside > _SHORT or _BREAK.search(line, inside, end)):
+                may_be_text = True
+                if soft_text:
+                    continue
+            at = end + len(closing)
+            parts += [line[done:start], _SIGN]
+            slots.append(line[start:at])
+            done = at
+            break
+    return "".join([*parts, line[done:]]), slots, may_be_text
+
+
 def _windows(text: str, size: int = WINDOW) -> Iterator[list[str]]:
-    for passage in _BREAK.split(text):
+    for line in _LINE.split(text.replace(_SIGN, " ")):
+        if not _OPENING.search(line):
+            yield from _line_windows(line, [], size)
+            continue
+        cut, slots, may_be_text = _cut_slots(line, False)
+        yield from _line_windows(cut, slots, size)
+        if may_be_text:
+            cut, slots, _ = _cut_slots(line, True)
+            yield from _line_windows(cut, slots, size)
+
+
+def _line_windows(line: str, slots: list[str], size: int) -> Iterator[list[str]]:
+    slot = iter(slots)
+    for passage in _BREAK.split(line):
         tokens: list[str] = []
         for m in _TOKEN.finditer(passage):
             kind = m.lastgroup
@@ -121,7 +167,7 @@ def _windows(text: str, size: int = WINDOW) -> Iterator[list[str]]:
             elif kind == "format":
                 tokens.append("slot %")
             else:
-                tokens.extend(_slot_features(m[0]))
+                tokens.extend(_slot_features(next(slot)))
         if len(tokens) <= size:
             if tokens:
                 yield tokens

@@ -315,3 +315,18 @@ def test_filler_of_any_wording():
     labels = residue.label_all(filler + content * 3)
     assert labels[: len(filler)] == ["filler"] * len(filler)
     assert [t for t, label in zip(content, labels[len(filler) :]) if label is not None] == []
+
+
+def test_slots_of_any_length_and_dialect():
+    slots = [
+        "Join {{ company | upper }} in this role", 'Role: {{ job_title | default: "x" }}', "Salary: {{ pay; currency }} a year", "{% if a.b! c %} Duties", "Pay ${" + "a_b " * 40 + "}",
+        "[Insert a two-sentence description of the team, its tools and the way it works here]", "<Insert the name. Then the place; or | both>", "[Insert " + "many words " * 5000 + "]",
+    ]
+    content = [
+        "You know how to fill templates such as {{ name | upper }} in Foo without leaving gaps", "a < b. We look after sites; growth > 5", "<|endof  text here text|>", "[" * 200_000, "Sites {{ and\nreports }}", "[Our rail desk looks after sites of many kinds; it reports on each of them every month]",
+    ]
+    long_text = "[Our rail desk looks after sites of many kinds. The page you requested could not be found; try again later]"
+    labels = residue.label_all([*slots, long_text, *content * 3])
+    assert labels[: len(slots)] == ["placeholder"] * len(slots)
+    assert labels[len(slots)] == "error page"
+    assert [t[:40] for t, label in zip(content, labels[len(slots) + 1 :]) if label is not None] == []
