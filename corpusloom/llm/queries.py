@@ -54,6 +54,16 @@ def p5_terms(spark: SparkSession, folder: str) -> DataFrame:
     return terms.ngram_frequencies(table(spark, folder, "surface_form"), "normalised_form", 3, 5)
 
 
+def p5_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Total, rows and mark of every normalised form, those without a mark as well."""
+    return terms.marked_values(table(spark, folder, "surface_form"), "normalised_form", "count")
+
+
+def p5_all_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every n-gram of the normalised forms, of any length and frequency, with its mark."""
+    return terms.marked_ngrams(table(spark, folder, "surface_form"), "normalised_form")
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents"), "doc_id", "text")
 
@@ -70,7 +80,10 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_top_labels, p2_found, p2_pairs, p3_found, p4_found, p5_found, p5_terms, p6_ids, p7_found, p8_found)
+    for f in (
+        p1_found, p1_top_labels, p2_found, p2_pairs, p3_found, p4_found, p5_found, p5_terms, p5_values, p5_all_terms, p6_ids,
+        p7_found, p8_found,
+    )
 }
 
 
@@ -120,6 +133,27 @@ SELECT gram, CAST(n AS INTEGER) AS n, count(*) AS total, count(DISTINCT id) AS "
 FROM g GROUP BY gram, n HAVING count(DISTINCT id) >= 5
 """
 
+_P5_VALUES = """
+WITH r AS (SELECT DISTINCT * FROM surface_form WHERE normalised_form IS NOT NULL),
+v AS (SELECT normalised_form, coalesce(sum("count"), 0) AS total, count(*) AS n FROM r GROUP BY normalised_form)
+SELECT normalised_form, CAST(total AS BIGINT) AS total, n AS "rows",
+  CASE WHEN total < 3 THEN 'rare' WHEN n >= 0.02 * (SELECT sum(n) FROM v) THEN 'common' END AS mark
+FROM v
+"""
+
+_P5_ALL_TERMS = """
+WITH t AS (
+  SELECT row_number() OVER () AS id, list_filter(string_split(normalised_form, ' '), lambda x: x <> '') AS w
+  FROM surface_form WHERE normalised_form IS NOT NULL
+), s AS (SELECT id, w, unnest(range(1, len(w) + 1)) AS i FROM t),
+k AS (SELECT id, w, i, unnest(range(1, len(w) - i + 2)) AS k FROM s),
+g AS (
+  SELECT array_to_string(w[i:i + k - 1], ' ') AS gram, CAST(k AS INTEGER) AS n, count(*) AS total, count(DISTINCT id) AS "rows"
+  FROM k GROUP BY ALL
+)
+SELECT *, CASE WHEN total < 3 THEN 'rare' WHEN "rows" >= 0.02 * (SELECT count(*) FROM t) THEN 'common' END AS mark FROM g
+"""
+
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -180,5 +214,7 @@ ORACLES: dict[str, str] = {
     "p4_found": _p4_sql(),
     "p5_found": _P5,
     "p5_terms": _P5_TERMS,
+    "p5_values": _P5_VALUES,
+    "p5_all_terms": _P5_ALL_TERMS,
     "p7_found": _P7,
 }

@@ -17,6 +17,7 @@ exact without holding any set.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
@@ -205,23 +206,42 @@ def value_frequencies(df: DataFrame, value: str, count: str) -> DataFrame:
     return counted.select(_to_text("gram").alias(value), F.col("whole_total").alias("total"), F.col("whole_rows").alias("rows"))
 
 
-def uninformative_values(df: DataFrame, value: str, count: str, rare_below: int = 3, common_share: float = 0.02) -> DataFrame:
-    """``(value, mark)``: ``rare`` below the total, else ``common`` from the share of rows on."""
-    counted = written(value_frequencies(df, value, count), "values")
-    all_rows = counted.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("all_rows"))
+def _marked(counted: DataFrame, all_rows: DataFrame, rare_below: int, common_share: float) -> DataFrame:
+    """``counted`` with ``mark``: ``rare`` below the total, else ``common`` from the share of ``all_rows`` on, else null."""
     mark = F.when(F.col("total") < rare_below, "rare").when(
         F.col("rows") >= F.lit(common_share) * F.col("all_rows"), "common"
     )
-    return counted.crossJoin(F.broadcast(all_rows)).select(value, mark.alias("mark")).where(F.col("mark").isNotNull())
+    return counted.crossJoin(F.broadcast(all_rows)).withColumn("mark", mark).drop("all_rows")
+
+
+def marked_values(df: DataFrame, value: str, count: str, rare_below: int = 3, common_share: float = 0.02) -> DataFrame:
+    """``(value, total, rows, mark)`` of every distinct value; see ``value_frequencies``."""
+    counted = written(value_frequencies(df, value, count), "values")
+    all_rows = counted.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("all_rows"))
+    return _marked(counted, all_rows, rare_below, common_share)
+
 
+def uninformative_values(df: DataFrame, value: str, count: str, rare_below: int = 3, common_share: float = 0.02) -> DataFrame:
+    """``(value, mark)``: ``rare`` below the total, else ``common`` from the share of rows on."""
+    return marked_values(df, value, count, rare_below, common_share).select(value, "mark").where(F.col("mark").isNotNull())
 
-def ngram_frequencies(df: DataFrame, text: str, longest: int = 3, least: int = 1) -> DataFrame:
-    """``(gram, n, total, rows)`` of every n-gram of up to ``longest`` terms.
+
+def ngram_frequencies(df: DataFrame, text: str, longest: int | None = 3, least: int = 1) -> DataFrame:
+    """``(gram, n, total, rows)`` of every n-gram of up to ``longest`` terms; None: of any length.
 
     Terms are what blanks separate; ``total`` counts every occurrence, ``rows``
     the rows that hold the n-gram, at least ``least``.  Null and empty texts
-    hold none; repeated rows count as often as they stand there.
+    hold none; repeated rows count as often as they stand there.  Without
+    ``longest`` the suffixes of a text grow with the square of its terms.
     """
     rows = df.select(F.col(text).alias("v"), F.lit(1).cast("long").alias("w")).where(F.col("v").isNotNull())
-    counted = _counted(rows, longest, least).where(F.col("rows") >= least)
+    counted = _counted(rows, sys.maxsize if longest is None else longest, least).where(F.col("rows") >= least)
     return counted.select(_to_text("gram").alias("gram"), "n", "total", "rows")
+
+
+def marked_ngrams(
+    df: DataFrame, text: str, longest: int | None = None, rare_below: int = 3, common_share: float = 0.02
+) -> DataFrame:
+    """``(gram, n, total, rows, mark)`` of every n-gram; the share is of the rows with a text."""
+    all_rows = df.agg(F.count(text).alias("all_rows"))
+    return _marked(ngram_frequencies(df, text, longest), all_rows, rare_below, common_share)

@@ -186,6 +186,15 @@ def test_ngrams_against_brute_force(spark):
     assert got == {g: (c, len(held[g])) for g, c in total.items() if len(held[g]) >= 2}
 
 
+def test_rare_and_long_ngrams_are_marked(spark):
+    rows = [("a b c d e", 1), ("a b", 1), ("a", 5), ("a", 5), (None, 9)]
+    df = spark.createDataFrame(rows, "v string, w int")
+    got = {r["gram"]: (r["n"], r["total"], r["rows"], r["mark"]) for r in terms.marked_ngrams(df, "v").collect()}
+    assert len(got) == 15 and got["a"] == (1, 4, 4, "common") and got["a b"] == (2, 2, 2, "rare") and got["a b c d e"] == (5, 1, 1, "rare")
+    assert {tuple(r) for r in terms.marked_values(df, "v", "w", 2, 0.5).collect()} == {("a b c d e", 1, 1, "rare"), ("a b", 1, 1, "rare"), ("a", 5, 1, None)}
+    assert terms.marked_ngrams(df.limit(0), "v").count() == 0
+
+
 # --- 6 ------------------------------------------------------------------------------------
 
 
