@@ -4,7 +4,8 @@ Suffix-sorted counting: each text gives its suffixes, truncated to the longest
 n-gram asked for; suffixes are routed by their first terms in ranges, sorted in
 reverse lexicographic order, and one stack per partition adds up all prefixes.
 Every n-gram is a prefix of a run of neighbouring suffixes, so a single pass
-counts n-grams of all lengths, and whole values as well.
+counts n-grams of all lengths.  Whole values alone (``value_frequencies``) need
+no suffixes: each gives one, itself, and the same sorted run only groups them.
 
 Two points differ from the textbook form, for scale.  Ranges replace the hash
 of the first term, so a term that starts a third of all texts is split by what
