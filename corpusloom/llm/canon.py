@@ -152,6 +152,11 @@ class CanonicalMatcher:
         self.automaton = TokenAutomaton(patterns)
         self.vocabulary = {w for words in patterns for w in words if len(words) > 1}
         self.heads = {w for words in patterns for w in words if len(w) > 3}
+        # The entry whose names hold a word; None where several do.
+        self.owner: dict[str, int | None] = {}
+        for words, key in patterns.items():
+            for w in words:
+                self.owner[w] = key if self.owner.get(w, key) == key else None
         self.frame = frozenset(frame) - {words[0] for words in patterns if len(words) == 1}
         self.run_on = sorted({w for w in self.frame if len(w) > 3} | {"".join(p.split()) for p in FRAME_PHRASES}, key=len, reverse=True)
         self.joined: dict[str, int] = {}
@@ -160,6 +165,9 @@ class CanonicalMatcher:
         for words, key in patterns.items():
             for order in itertools.permutations(words) if 1 < len(words) <= 4 else ():
                 self.joined.setdefault("".join(order), key)
+        self.sets: dict[tuple[str, ...], int] = {}
+        for words, key in patterns.items():
+            self.sets.setdefault(tuple(sorted(words)), key)
         # Similarity index over letter pairs, as one flat posting list.  Short
         # names are codes (initials): a slip makes another code of them, so
         # they only match exactly.
@@ -174,6 +182,7 @@ class CanonicalMatcher:
         self.word_counts = np.array([len(words) for words, _, _ in self.long], dtype=np.int32)
         self.match = lru_cache(maxsize=200_000)(self._match)
         self.frame_like = lru_cache(maxsize=200_000)(self._frame_like)
+        self.near_owners = lru_cache(maxsize=200_000)(self._near_owners)
 
     @staticmethod
     def _pairs(text: str) -> set[str]:
@@ -183,7 +192,9 @@ class CanonicalMatcher:
         if not words:
             return None
         key = self.patterns.get(tuple(words))
-        return self.joined.get("".join(words)) if key is None else key
+        if key is None:
+            key = self.joined.get("".join(words))
+        return self.sets.get(tuple(sorted(words))) if key is None else key
 
     def _strip_frame(self, words: list[str]) -> list[str]:
         """Words without the frame, and without version marks and numbers."""
@@ -199,8 +210,21 @@ class CanonicalMatcher:
         near = min((edit_distance(word, f, most) for f in self.frame if len(f) > 3), default=most + 1)
         return near <= most and all(edit_distance(word, w, near) > near for w in self.heads)
 
-    def _embedded(self, words: list[str]) -> int | None:
-        """The one entry that the longest embedded names agree on, if nothing else is said."""
+    def _near_owners(self, word: str) -> frozenset[int | None]:
+        """Entries whose names hold the word or, from 4 letters on, a word it may be a slip of."""
+        if word in self.owner:
+            return frozenset([self.owner[word]])
+        if len(word) < 4:
+            return frozenset()
+        most = 1 if len(word) < 5 else 2
+        return frozenset(self.owner[w] for w in self.heads if edit_distance(word, w, most) <= most)
+
+    def _embedded(self, words: list[str], strict: bool = True) -> int | None:
+        """The one entry that the longest embedded names agree on, if nothing else is said.
+
+        ``strict``: only the frame may be left over; else any word that is not
+        one of another entry, nor a slip of one.
+        """
         found = self.automaton.longest(words)
         if not found:
             return None
@@ -211,7 +235,19 @@ class CanonicalMatcher:
         key = keys.pop()
         used = {i for start, n, k in found for i in range(start, start + n) if k == key}
         left = [w for i, w in enumerate(words) if i not in used and not self.frame_like(w)]
-        return key if not left else None
+        if strict:
+            return key if not left else None
+        return key if all(self.near_owners(w) <= {key} for w in left) else None
+
+    @staticmethod
+    def _aligned(words: list[str], names: tuple[str, ...]) -> str:
+        """The words, joined in the order of the name's words they are nearest to."""
+        near = sorted((edit_distance(w, n, max(len(w), len(n))), i, j) for i, n in enumerate(names) for j, w in enumerate(words))
+        place: dict[int, int] = {}
+        for _, i, j in near:
+            if j not in place and i not in place.values():
+                place[j] = i
+        return "".join(words[j] for j in sorted(range(len(words)), key=lambda j: (place.get(j, len(names)), j)))
 
     def _similar(self, words: list[str]) -> int | None:
         text = "".join(words)
@@ -236,6 +272,8 @@ class CanonicalMatcher:
                 if any(w not in names for w in known):
                     continue
                 gap = min(edit_distance(o, name, depth) for o in orders)
+                if gap > depth and len(words) > 3:
+                    gap = edit_distance(self._aligned(words, names), name, depth)
                 if gap <= depth:
                     keys[key] = min(gap, keys.get(key, gap))
             if keys:
@@ -293,7 +331,9 @@ class CanonicalMatcher:
             key = self._similar(attempt)
             if key is not None:
                 return key
-        return self.NONE
+        # Last, as a slip in the other words of a longer name leaves a shorter name's mention.
+        key = self._embedded(words, strict=False)
+        return self.NONE if key is None else key
 
 
 #: A list up to this many names goes to the executors whole (about 1 kB of
@@ -302,13 +342,15 @@ MOST_NAMES = 500_000
 
 
 def map_values(
-    df: DataFrame, row_id: str, value: str, entries: DataFrame, entry_id: str, name: str, other_names: str | None = None
+    df: DataFrame, row_id: str, value: str, entries: DataFrame, entry_id: str, name: str, other_names: str | None = None,
+    frame: frozenset[str] = FRAME_WORDS,
 ) -> DataFrame:
     """``(row_id, entry_id)`` for every row with a value; ``-1`` where it means no entry.
 
     Rows with a null value are left out; empty and meaningless values give
     ``-1``; repeated rows come as often as they stand there; entries with a null
     id or name are no target; an empty list maps everything to ``-1``.
+    ``frame``: words that may stand around a name.
 
     Every distinct value is looked at once.  The answers meet the rows in a
     join on the value, which Spark broadcasts while they are small and splits
@@ -327,7 +369,7 @@ def map_values(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = None
         for batch in batches:
-            matcher = matcher or CanonicalMatcher(listed.value)
+            matcher = matcher or CanonicalMatcher(listed.value, frame)
             yield pd.DataFrame({"v": batch["v"], "e": [matcher.match(v) for v in batch["v"]]})
 
     kinds = dict(df.dtypes)[value], dict(entries.dtypes)[entry_id]

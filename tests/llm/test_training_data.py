@@ -114,6 +114,17 @@ def test_longest_mentions_win():
     assert found == [(0, 2, 2), (3, 3, 3), (6, 1, 1)]
 
 
+def test_mentions_in_other_words_and_orders(spark):
+    entries = [(1, "quorgais", None), (2, "rail review", None), (3, "nested cargo audit rail planning", None), (4, "zun quorgais lamp", None)]
+    matcher = canon.CanonicalMatcher(entries)
+    assert [matcher.match(v) for v in ("5 years quorgais in production", "Kenntnisse in quorgais", "quorgais lamp", "quorgais lanp", "quorgais reviw")] == [1, 1, -1, -1, -1]
+    assert [matcher.match(v) for v in ("planning rail audit cargo nested", "planning rail audit cargp nested", "cargo planing rail audit nested")] == [3, 3, 3]
+    values = spark.createDataFrame([(1, "revew doing rail")], "r long, v string")
+    listed = spark.createDataFrame([(2, "rail review")], "e long, n string")
+    got = [canon.map_values(values, "r", "v", listed, "e", "n", frame=f).first()["e"] for f in (canon.FRAME_WORDS, canon.FRAME_WORDS | {"doing"})]
+    assert got == [-1, 2]
+
+
 def test_map_values(spark):
     entries = spark.createDataFrame([*LIST, (None, "x", None), (9, None, None)], "r long, v string, e array<string>")
     df = spark.createDataFrame([(1, "taq", "a"), (2, None, "b"), (3, "", "c"), (1, "taq", "a")], "id long, v string, e string")
