@@ -14,6 +14,7 @@ lies whole in some passage.
 
 from __future__ import annotations
 
+import html
 import math
 import re
 import unicodedata
@@ -30,8 +31,8 @@ from corpusloom.llm.surface import IGNORABLE_RANGES
 from corpusloom.runtime import spread
 
 _WORD = re.compile(r"[^\W_]+")
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>")
-_ENTITY = re.compile(r"&(?:[a-zA-Z]{2,8}|#\d{1,6}|#x[0-9a-fA-F]{1,6});")
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
+_ENTITY = re.compile(r"&(?:[a-zA-Z][a-zA-Z0-9]*|#\d+|#[xX][0-9a-fA-F]+);")
 _UNSEEN = re.compile("[" + "".join(f"{chr(low)}-{chr(high)}" for low, high in IGNORABLE_RANGES) + "]+")
 
 #: Items of one index; a longer list of items is taken in blocks of this size.
@@ -41,6 +42,12 @@ IMPACT_BLOCK = 16
 _SLACK = 1e-9
 
 
+def _character(entity: re.Match[str]) -> str:
+    """What an entity stands for; a blank if its name is unknown."""
+    shown = html.unescape(entity[0])
+    return " " if shown == entity[0] else shown
+
+
 def words_of(text: str | None) -> list[str]:
     """Runs of letters and digits, caseless; markup, signs and unseen characters are no words."""
     if not text:
@@ -48,7 +55,7 @@ def words_of(text: str | None) -> list[str]:
     if "<" in text:
         text = _TAG.sub(" ", text)
     if "&" in text:
-        text = _ENTITY.sub(" ", text)
+        text = _ENTITY.sub(_character, text)
     if not text.isascii():
         text = unicodedata.normalize("NFKC", _UNSEEN.sub("", text)).casefold()
         return _WORD.findall(unicodedata.normalize("NFKC", text))

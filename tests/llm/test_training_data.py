@@ -279,6 +279,13 @@ def test_leaks_against_brute_force(spark):
     assert leak.leaked_items(corpus.limit(0), "i", "t", tests, "d", "t").count() == 0
 
 
+def test_words_of_marked_up_text():
+    assert leak.words_of("one <a title='" + "x " * 300 + "'>two</a>") == ["one", "two"]
+    assert leak.words_of("d&eacute;veloppement infor&shy;mation caf&#233; &#xE9;t&#XE9; a&nbsp;b x&amp;y p&nosuch;q &lt;b&gt;") == [
+        "développement", "information", "café", "été", "a", "b", "x", "y", "p", "q", "b",
+    ]
+
+
 def test_wand_loses_nothing():
     rng = random.Random(8)
     items = [(k, " ".join(rng.choice("abcdefghijklmnop") for _ in range(20))) for k in range(70)]
