@@ -110,6 +110,27 @@ def test_stream_into_facts(spark, tmp_path):
     assert [r["occupation"] for r in seen] == ["o"]
 
 
+def test_late_second_batch(spark, tmp_path):
+    source, facts, kept = (str(tmp_path / name) for name in ("in", "facts", "mentions"))
+    schema = "year string, occupation string, posting_id string, form string, at timestamp"
+    bridge = spark.createDataFrame([("a", "A"), ("aa", "A"), ("b", "B")], "key string, concept_id string")
+
+    def send(rows):
+        day = F.col("at").cast("timestamp").alias("at")
+        spark.createDataFrame(rows, "year string, occupation string, posting_id string, form string, at string").select("year", "occupation", "posting_id", "form", day).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        query = ingest.into_facts(stream, bridge, facts, str(tmp_path / "cp"), key=["posting_id", "form"], mentions=kept)
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    send([("2026", "o", "p1", "A", "2026-06-01 00:00:00"), ("2026", "o", "p1", "A", "2026-06-01 00:00:00"), ("2026", "o", "p3", None, "2026-06-01 00:00:00")])
+    send([("2026", "o", "p1", "AA", "2026-06-02 00:00:00"), ("2026", "o", "p1", "A", "2026-06-02 00:00:00"), ("2026", "o", "p2", "B", "2026-01-01 00:00:00"), ("2026", "o", "p3", None, "2026-06-01 00:00:00")])
+    merged = ingest.merged_facts(spark.read.parquet(facts)).collect()
+    assert {(r["posting_id"], r["concept_id"], r["n_mentions"]) for r in merged} == {("p1", "A", 2), ("p2", "B", 1)} and len(merged) == 2
+    counts = ingest.windowed_counts(spark.read.parquet(kept), "at", ["year"]).collect()
+    assert sorted(r["n"] for r in counts) == [1, 1, 2]
+
+
 def test_view_denominators_differ(spark):
     rows = spark.createDataFrame([("y", "o", "p1", "a")], "year string, occupation string, posting_id string, g string")
     ads = spark.createDataFrame([("y", "o", "p1"), ("y", "o", "p2")], "year string, occupation string, posting_id string")
