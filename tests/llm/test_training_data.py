@@ -93,7 +93,12 @@ LIST = [(1, "tabular querying", ["taq"]), (2, "stress-testing", []), (3, "glacie
     ],
 )
 def test_canonical_values(value, wanted):
-    assert canon.CanonicalMatcher(LIST).match(value) == wanted
+    assert mapped(LIST, value, "hands on tools certified in good command of advanced".split()) == wanted
+
+
+def mapped(entries, value, frame=()):
+    answer = canon.Matcher(entries, canon.ListWords(canon.name_words(entries)), frame).answer(value)
+    return -1 if answer is None else answer.key
 
 
 @given(st.text("abc", max_size=9), st.text("abc", max_size=9))
@@ -110,19 +115,37 @@ def test_edit_distance(a, b):
 
 
 def test_longest_mentions_win():
-    found = canon.TokenAutomaton({("a",): 1, ("a", "b"): 2, ("b", "c", "d"): 3}).longest("a b x b c d a".split())
-    assert found == [(0, 2, 2), (3, 3, 3), (6, 1, 1)]
+    entries = [(1, "alpha", []), (2, "alpha beta", []), (3, "beta gamma delta", ["alpha two"])]
+    matcher = canon.Matcher(entries, canon.ListWords(canon.name_words(entries)))
+    assert [tuple(m) for m in matcher.mentions("so alpha beta x alpha".split())] == [(2, 9, ("so", "x", "alpha")), (1, 5, ("so", "alpha", "beta", "x"))]
+    assert [tuple(m) for m in matcher.mentions("betagammadelta alphatwo".split())] == [(3, 14, ())]
+    assert matcher.mentions(["xbetay"]) == [] and matcher.mentions([]) == []
 
 
 def test_mentions_in_other_words_and_orders(spark):
     entries = [(1, "quorgais", None), (2, "rail review", None), (3, "nested cargo audit rail planning", None), (4, "zun quorgais lamp", None)]
-    matcher = canon.CanonicalMatcher(entries)
-    assert [matcher.match(v) for v in ("5 years quorgais in production", "Kenntnisse in quorgais", "quorgais lamp", "quorgais lanp", "quorgais reviw")] == [1, 1, -1, -1, -1]
-    assert [matcher.match(v) for v in ("planning rail audit cargo nested", "planning rail audit cargp nested", "cargo planing rail audit nested")] == [3, 3, 3]
+    found = [mapped(entries, v) for v in ("5 years quorgais in production", "Kenntnisse in quorgais", "quorgais lamp", "quorgais lanp", "quorgais reviw")]
+    assert found == [1, 1, -1, -1, -1]
+    orders = ("planning rail audit cargo nested", "planning rail audit cargp nested", "cargo planing rail audit nested", "planing rial audit nested cargo")
+    assert [mapped(entries, v) for v in orders] == [3, 3, 3, 3]
+    longer = [(1, "one two three four five six seven eight", None)]
+    assert mapped(longer, "eight seven six five four three two one") == 1 and mapped(longer, "eigth seven six five four threee two one") == 1
     values = spark.createDataFrame([(1, "revew doing rail")], "r long, v string")
-    listed = spark.createDataFrame([(2, "rail review")], "e long, n string")
-    got = [canon.map_values(values, "r", "v", listed, "e", "n", frame=f).first()["e"] for f in (canon.FRAME_WORDS, canon.FRAME_WORDS | {"doing"})]
-    assert got == [-1, 2]
+    listed = spark.createDataFrame([("e2", "rail review")], "e string, n string")
+    got = [canon.map_values(values, "r", "v", listed, "e", "n", frame=f).first()["e"] for f in ((), {"doing"})]
+    assert got == ["-1", "e2"]
+
+
+def test_frame_is_learned_and_shards_agree(spark):
+    words = ["alder", "birch", "cedar", "dogwood", "elm", "fir", "ginkgo", "hazel", "ironwood", "juniper"]
+    entries = [(i, f"{a} {b}", [f"{b}{i}x"]) for i, (a, b) in enumerate(zip(words, [f"{w}ling" for w in reversed(words)]))]
+    listed = spark.createDataFrame(entries, "e long, n string, o array<string>")
+    shown = [(0, f"years of {n} daily", k) for k, n, _ in entries] + [(1, f"{n.split()[0]}e {n.split()[1]}", k) for k, n, _ in entries]
+    shown += [(2, f"yeras of {n.replace('li', 'il')} dayly", k) for k, n, _ in entries] + [(3, "alder elmling", -1), (4, "alder juniperling", 0), (5, "fir", -1)]
+    df = spark.createDataFrame([(i, v) for i, (_, v, _) in enumerate(shown)], "r long, v string")
+    wanted = {i: k for i, (_, _, k) in enumerate(shown)}
+    for size in (100_000, 7, 3):
+        assert dict(canon.map_values(df, "r", "v", listed, "e", "n", "o", shard_names=size).collect()) == wanted
 
 
 def test_map_values(spark):
