@@ -65,6 +65,18 @@ def test_pair_counts(spark, block):
     got = {tuple(r) for r in pairs.pair_counts(df, "occ", "b", "i", block=block).collect()}
     assert got == brute_pairs(rows)
     assert pairs.pair_counts(df.limit(0), "occ", "b", "i").count() == 0
+    found = {tuple(r)[:7] for r in pairs.associated_pairs(df, "occ", "b", "i", 2, 2, block).collect()}
+    assert found == {r for r in got if r[6] >= 2 and r[6] * r[3] >= 2 * r[4] * r[5]} and found
+
+
+def test_pair_counts_beyond_limits(spark, monkeypatch):
+    """Codes of two columns and items pruned by a join give the same pairs."""
+    rng = random.Random(5)
+    rows = [(f"g{rng.randrange(3)}", f"b{rng.randrange(12)}", f"i{rng.randrange(14)}") for _ in range(200)]
+    df = spark.createDataFrame(rows, "g string, b string, i string")
+    wanted = {tuple(r) for r in pairs.pair_counts(df, "g", "b", "i", 3, 1).collect()}
+    monkeypatch.setattr(pairs, "BROADCAST_ROWS", 2)
+    assert {tuple(r) for r in pairs.pair_counts(df, "g", "b", "i", 3, 1, block=4).collect()} == wanted and wanted
 
 
 def test_wide_codes():
