@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +35,10 @@ def shipped(spark: SparkSession) -> SparkSession:
     context = spark.sparkContext
     if not getattr(context, "_corpusloom_shipped", False):
         root = Path(__file__).resolve().parent
-        archive = Path(tempfile.mkdtemp(prefix="corpusloom-")) / "corpusloom.zip"
+        # Only the driver reads this folder; Spark serves the archive to the executors.
+        folder = tempfile.mkdtemp(prefix="corpusloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = Path(folder) / "corpusloom.zip"
         with zipfile.ZipFile(archive, "w") as z:
             for path in sorted(root.rglob("*.py")):
                 z.write(path, path.relative_to(root.parent))
@@ -44,8 +50,8 @@ def shipped(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Where the setting is missing, a local session gets a temporary folder; a
-    cluster gets a folder beside its warehouse, never one of a single machine.
+    Where the setting is missing, a local session gets a temporary folder, which
+    goes when the process ends; on a cluster the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -53,26 +59,38 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     known = getattr(context, "_corpusloom_folder", None)
     if known is None:
-        if context.master.startswith("local"):
-            known = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-        else:
-            known = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_corpusloom"
-        context._corpusloom_folder = known
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        made = tempfile.mkdtemp(prefix="corpusloom-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        known = context._corpusloom_folder = "file://" + made
     return known
 
 
-def written(df: DataFrame, name: str = "step") -> DataFrame:
-    """``df`` written to the shared folder and read again.
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
+def written(df: DataFrame, name: str = "step", by: Sequence[str] = ()) -> DataFrame:
+    """``df`` written to the shared folder and read again, in folders per value of ``by``.
 
     Cuts the lineage, survives the loss of executors, and makes a result that
-    several later steps read be computed once.
+    several later steps read be computed once.  The table stays until
+    ``forget`` or the end of the folder, since a result may be read at any time.
     """
     spark = shipped(df.sparkSession)
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession) -> None:
+    """Deletes all tables that this application has written to the shared folder."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame, least: int | None = None) -> DataFrame:
     """``df`` in at least ``least`` partitions (default: the cores at hand).
 
@@ -84,7 +102,6 @@ def spread(df: DataFrame, least: int | None = None) -> DataFrame:
 
 
 
-
 def cores() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
 
