@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.runtime import spread
+
 #: Where the public vocabulary files lie; every function takes another place.
 TOKENIZERS = os.environ.get("CORPUSLOOM_TOKENIZERS", "/opt/tokenizers")
 
@@ -150,4 +152,4 @@ def encode(df: DataFrame, row_id: str, text: str, name: str = "byte_bpe_50k", fo
             yield pd.Series(_ENCODERS[key].encode_batch(texts.tolist()), index=texts.index, dtype=object)
 
     coder = F.pandas_udf(run, "array<int>")
-    return df.select(F.col(row_id), coder(F.col(text)).alias("ids"))
+    return spread(df.select(F.col(row_id), F.col(text).alias("_text"))).select(row_id, coder("_text").alias("ids"))

@@ -45,6 +45,11 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id_a").alias("form_id_a"), F.col("id_b").alias("form_id_b"))
 
 
+def p4_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of every spelling, named by its smallest id, and the texts in it."""
+    return surface.same_looking_classes(table(spark, folder, "surface_form"), "form_id", "form")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return terms.uninformative_values(table(spark, folder, "surface_form"), "normalised_form", "count")
 
@@ -81,7 +86,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_top_labels, p2_found, p2_pairs, p3_found, p4_found, p5_found, p5_terms, p5_values, p5_all_terms, p6_ids,
+        p1_found, p1_top_labels, p2_found, p2_pairs, p3_found, p4_found, p4_classes, p5_found, p5_terms, p5_values, p5_all_terms, p6_ids,
         p7_found, p8_found,
     )
 }
@@ -159,8 +164,8 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _p4_sql() -> str:
-    """Look-alike text in SQL: letters, widths and blanks by ``translate``, then NFC."""
+def _p4_keys() -> str:
+    """What a form shows, in SQL: letters, widths and blanks by ``translate``, then NFC."""
     source: list[str] = []
     target: list[str] = []
     gone: list[str] = []
@@ -179,12 +184,18 @@ def _p4_sql() -> str:
     pairs_ = [(a, b) for a, b in zip(source, target) if len(b) == 1]
     shape = f"translate(form, {_quoted(''.join(a for a, _ in pairs_))}, {_quoted(''.join(b for _, b in pairs_))})"
     seen = f"trim(nfc_normalize(regexp_replace({shape}, {_quoted('[' + ''.join(gone) + ']')}, '', 'g')), ' ')"
-    return f"""
-WITH k AS (SELECT DISTINCT form_id, form, {seen} AS seen FROM surface_form WHERE form_id IS NOT NULL AND form IS NOT NULL)
+    return f"WITH k AS (SELECT DISTINCT form_id, form, {seen} AS seen FROM surface_form WHERE form_id IS NOT NULL AND form IS NOT NULL)"
+
+
+_P4 = _p4_keys() + """
 SELECT DISTINCT a.form_id AS form_id_a, b.form_id AS form_id_b
 FROM k a JOIN k b ON a.seen = b.seen AND a.form_id < b.form_id AND a.form <> b.form
 """
 
+_P4_CLASSES = _p4_keys() + """
+SELECT DISTINCT form_id, min(form_id) OVER (PARTITION BY seen) AS class_id, count(DISTINCT form) OVER (PARTITION BY seen) AS texts FROM k
+"""
+
 
 def _p7_words(column: str) -> str:
     unseen = "[" + "".join(chr(low) if low == high else f"{chr(low)}-{chr(high)}" for low, high in surface.IGNORABLE_RANGES if high < 0xE0000) + "]"
@@ -211,7 +222,8 @@ ORACLES: dict[str, str] = {
     "p2_pairs": _P2
     + "SELECT *, round(n_ab * n / (n_a::DOUBLE * n_b), 6) AS lift, "
     + "round(((n_ab + 0.5::DOUBLE) * (n - n_a - n_b + n_ab + 0.5::DOUBLE)) / ((n_a - n_ab + 0.5::DOUBLE) * (n_b - n_ab + 0.5::DOUBLE)), 6) AS odds_ratio FROM f",
-    "p4_found": _p4_sql(),
+    "p4_found": _P4,
+    "p4_classes": _P4_CLASSES,
     "p5_found": _P5,
     "p5_terms": _P5_TERMS,
     "p5_values": _P5_VALUES,

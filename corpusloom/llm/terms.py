@@ -4,8 +4,9 @@ Suffix-sorted counting: each text gives its suffixes, truncated to the longest
 n-gram asked for; suffixes are routed by their first terms in ranges, sorted in
 reverse lexicographic order, and one stack per partition adds up all prefixes.
 Every n-gram is a prefix of a run of neighbouring suffixes, so a single pass
-counts n-grams of all lengths.  Whole values alone (``value_frequencies``) need
-no suffixes: each gives one, itself, and the same sorted run only groups them.
+counts n-grams of all lengths.  The suffix that starts a text stays whole and
+bears a mark at its end, so the same stack gives the frequency of whole values:
+values and terms come out of one run.
 
 Two points differ from the textbook form, for scale.  Ranges replace the hash
 of the first term, so a term that starts a third of all texts is split by what
@@ -33,8 +34,11 @@ GAP = "\x00"
 #: Suffixes a map task holds before it hands on a combined run.
 RUN = 400_000
 
-_SUFFIX = "suffix string, whole boolean, seen int, total long, rows long"
-_COUNTED = "gram string, n int, total long, rows long, whole_total long, whole_rows long, open boolean"
+_SUFFIX = "suffix string, start int, seen int, weight long, rows long"
+_COUNTED = "gram string, n int, total long, rows long, weight long, whole_rows long, open boolean"
+
+# What a suffix is: one inside a text, one that starts it, or a whole text that no n-gram is taken from.
+_INNER, _FIRST, _VALUE = 0, 1, 2
 
 
 def _escape(term: str) -> str:
@@ -57,14 +61,21 @@ def _shared(a: list[str], b: list[str]) -> int:
     return n
 
 
-def text_suffixes(text: str, longest: int) -> list[tuple[str, int]]:
-    """``(suffix, seen)`` of a text: ``seen`` terms of it begin an earlier suffix of the text."""
-    terms = [_escape(t) for t in text.split(" ") if t]
-    cut = [terms[i : i + longest] for i in range(len(terms))]
+def text_suffixes(text: str, longest: int) -> list[tuple[str, int, int]]:
+    """``(suffix, kind, seen)`` of a text: ``seen`` terms of it begin an earlier suffix of the text.
+
+    The first suffix is whole, the others have ``longest`` terms at most.  A
+    text whose blanks are not single and inside counts whole with empty terms,
+    of which no n-gram is taken; its terms count without it.
+    """
+    parts = text.split(" ")
+    plain = all(parts)
+    terms = [_escape(t) for t in parts if t]
     # The longest prefix shared with an earlier suffix, found among the prefixes met so far.
     met: set[tuple[str, ...]] = set()
-    out = []
-    for suffix in cut:
+    out = [] if plain else [(GAP.join(map(_escape, parts)), _VALUE, 0)]
+    for i in range(len(terms)):
+        suffix = terms[i : i + longest]
         seen = 0
         for n in range(1, len(suffix) + 1):
             prefix = tuple(suffix[:n])
@@ -72,75 +83,77 @@ def text_suffixes(text: str, longest: int) -> list[tuple[str, int]]:
                 seen = n
             else:
                 met.add(prefix)
-        out.append((GAP.join(suffix), seen))
+        if plain and not i:
+            out.append((GAP.join(terms), _FIRST, 0))
+        else:
+            out.append((GAP.join(suffix), _INNER, seen))
     return out
 
 
-def _make_suffixes(longest: int | None):
-    """Rows ``(v, w)`` to combined suffix runs; ``longest`` None: whole values only."""
+def _make_suffixes(longest: int):
+    """Rows ``(v, w)`` to combined suffix runs."""
 
     # Plain dictionaries: the hash tables of pandas end a text at its first NUL.
-    def combine(frames: list[pd.DataFrame]) -> pd.DataFrame:
-        values: dict[str, list[int]] = {}
-        for frame in frames:
-            for v, w in zip(frame["v"], frame["w"]):
-                seen = values.setdefault(v, [0, 0])
-                seen[0] += w
-                seen[1] += 1
-        sums: dict[tuple[str, int], list[int]] = {}
-        for v, (total, size) in values.items():
-            if longest is None:
-                made = [(GAP.join(_escape(t) for t in v.split(" ")), 0)]
-            else:
-                made = text_suffixes(v, longest)
-            for key in made:
+    def combine(values: dict[str, list[int]]) -> pd.DataFrame:
+        sums: dict[tuple[str, int, int], list[int]] = {}
+        for v, (weight, size) in values.items():
+            for key in text_suffixes(v, longest):
                 entry = sums.setdefault(key, [0, 0])
-                entry[0] += total
+                entry[0] += weight
                 entry[1] += size
-        rows = [(suffix, longest is None, seen, total, size) for (suffix, seen), (total, size) in sums.items()]
-        return pd.DataFrame(rows, columns=["suffix", "whole", "seen", "total", "rows"])
+        rows = [(suffix, kind, seen, weight, size) for (suffix, kind, seen), (weight, size) in sums.items()]
+        return pd.DataFrame(rows, columns=["suffix", "start", "seen", "weight", "rows"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        size = 0
+        values: dict[str, list[int]] = {}
         for batch in batches:
-            held.append(batch)
-            size += len(batch)
-            if size >= RUN:
-                yield combine(held)
-                held, size = [], 0
-        if size:
-            yield combine(held)
+            for v, w in zip(batch["v"], batch["w"]):
+                held = values.setdefault(v, [0, 0])
+                held[0] += w
+                held[1] += 1
+            if len(values) >= RUN:
+                yield combine(values)
+                values = {}
+        if values:
+            yield combine(values)
 
     return run
 
 
-def _count_prefixes(least: int, whole_only: bool):
-    """The stack over suffixes in reverse lexicographic order."""
+def _count_prefixes(longest: int, least: int, values: bool):
+    """The stack over suffixes in reverse lexicographic order.
+
+    Hands on n-grams of ``least`` rows or more and, with ``values``, whole texts.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         path: list[str] = []
-        # Per depth: total, rows, rows not new below this depth, whole total, whole rows.
+        # Per depth: occurrences, rows, rows not new below this depth, weight and rows of whole texts.
         stack: list[list[int]] = []
         like_first = -1  # terms that the path shares with the partition's first suffix
         out: list[tuple] = []
 
         def pop(last: bool) -> None:
-            total, rows, stop, whole_total, whole_rows = stack.pop()
+            total, rows, stop, weight, whole = stack.pop()
             depth = len(path)
             rows -= stop
-            # Equal values meet in one partition, so whole values are never open.
-            open_ = not whole_only and (last or depth <= like_first)
-            if whole_rows or open_ or (not whole_only and rows >= least):
-                out.append((GAP.join(path), depth, total, rows, whole_total, whole_rows, open_))
+            counts = depth <= longest
+            if not counts:
+                total_here = rows_here = 0
+            else:
+                total_here, rows_here = total, rows
+            # Equal suffixes meet in one partition, so only a prefix can go on in the next.
+            open_ = counts and (last or depth <= like_first)
+            if (values and whole) or open_ or (counts and rows >= max(1, least)):
+                out.append((GAP.join(path), depth, total_here, rows_here, weight, whole, open_))
             path.pop()
             if stack:
                 stack[-1][0] += total
                 stack[-1][1] += rows
 
         for batch in batches:
-            for suffix, whole, seen, total, rows in zip(
-                batch["suffix"], batch["whole"], batch["seen"], batch["total"], batch["rows"]
+            for suffix, kind, seen, weight, rows in zip(
+                batch["suffix"], batch["start"], batch["seen"], batch["weight"], batch["rows"]
             ):
                 terms = suffix.split(GAP)
                 common = _shared(path, terms)
@@ -151,10 +164,11 @@ def _count_prefixes(least: int, whole_only: bool):
                     path.append(terms[len(path)])
                     stack.append([0, 0, 0, 0, 0])
                 node = stack[-1]
-                node[0] += total
-                node[1] += rows
-                if whole:
-                    node[3] += total
+                if kind != _VALUE:
+                    node[0] += rows
+                    node[1] += rows
+                if kind != _INNER:
+                    node[3] += weight
                     node[4] += rows
                 if seen:
                     stack[seen - 1][2] += rows
@@ -177,34 +191,34 @@ def _to_text(grams: pd.Series) -> pd.Series:
     return grams.map(_unescape)
 
 
-def _counted(rows: DataFrame, longest: int | None, least: int) -> DataFrame:
+def _counted(rows: DataFrame, longest: int, least: int, values: bool) -> DataFrame:
     """Counts of all prefixes; ``open`` ones of neighbouring partitions added up."""
     suffixes = written(rows.mapInPandas(_make_suffixes(longest), _SUFFIX), "suffixes")
     parts = (
         suffixes.repartitionByRange("suffix").sortWithinPartitions(F.desc("suffix"))
-        .mapInPandas(_count_prefixes(least, longest is None), _COUNTED)
+        .mapInPandas(_count_prefixes(longest, least, values), _COUNTED)
     )
     parts = written(parts, "counted")
-    if longest is None:
-        return parts.drop("open")
-    sums = [F.sum(c).alias(c) for c in ("total", "rows", "whole_total", "whole_rows")]
+    sums = [F.sum(c).alias(c) for c in ("total", "rows", "weight", "whole_rows")]
     edge = parts.where("open").groupBy("gram", "n").agg(*sums)
     return parts.where(~F.col("open")).drop("open").unionByName(edge)
 
 
-def value_frequencies(df: DataFrame, value: str, count: str) -> DataFrame:
+def value_frequencies(df: DataFrame, value: str, count: str, longest: int = 1) -> DataFrame:
     """``(value, total, rows)`` of every distinct value.
 
     Whole-row copies count once (over all columns); rows with a null value are
     left out; a null count adds nothing, so a value of nulls only has total 0.
     Values are compared exactly as stored, the empty string is a value.  An
-    empty table gives no rows.
+    empty table gives no rows.  Taken from the suffix run of the values' n-grams
+    of up to ``longest`` terms: the whole texts that its stack has marked.
     """
     rows = df.distinct().select(F.col(value).alias("v"), F.coalesce(F.col(count).cast("long"), F.lit(0)).alias("w")).where(
         F.col("v").isNotNull()
     )
-    counted = _counted(rows, None, 1).where(F.col("whole_rows") > 0)
-    return counted.select(_to_text("gram").alias(value), F.col("whole_total").alias("total"), F.col("whole_rows").alias("rows"))
+    # Only whole texts and what is open at the ends is handed on.
+    counted = _counted(rows, longest, sys.maxsize, True).where(F.col("whole_rows") > 0)
+    return counted.select(_to_text("gram").alias(value), F.col("weight").alias("total"), F.col("whole_rows").alias("rows"))
 
 
 def _marked(counted: DataFrame, all_rows: DataFrame, rare_below: int, common_share: float) -> DataFrame:
@@ -236,7 +250,7 @@ def ngram_frequencies(df: DataFrame, text: str, longest: int | None = 3, least:
     ``longest`` the suffixes of a text grow with the square of its terms.
     """
     rows = df.select(F.col(text).alias("v"), F.lit(1).cast("long").alias("w")).where(F.col("v").isNotNull())
-    counted = _counted(rows, sys.maxsize if longest is None else longest, least).where(F.col("rows") >= least)
+    counted = _counted(rows, sys.maxsize if longest is None else longest, least, False).where(F.col("rows") >= max(1, least))
     return counted.select(_to_text("gram").alias("gram"), "n", "total", "rows")
 
 

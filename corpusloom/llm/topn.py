@@ -1,7 +1,8 @@
 """Top N items of every group (problem 1).
 
-Score bands from the top: the rows are cut by score into a few bands; a band is
-processed only for groups that the bands above have not filled.  Within a band
+Score bands from the top: the rows are cut by score into a few bands, which are
+written once; a band is processed only for groups that the bands above have not
+filled.  Within a band
 a group's boundary is settled by exact ranking (score descending, item
 ascending in code point order), so equal scores give the same items on every
 run.
@@ -16,10 +17,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.runtime import written
 
-#: A list of filled groups up to this many rows is sent to the executors whole
-#: (a group name of 60 bytes makes 60 MB at most); a longer one is joined.
-BROADCAST_GROUPS = 1_000_000
-
+#: A list of filled groups up to this many bytes is sent to the executors whole; a longer one is joined.
+BROADCAST_BYTES = 32 << 20
 
 #: Grid of score quantiles that band edges are taken from.
 GRID = [k / 50 for k in range(51)]
@@ -60,34 +59,36 @@ def top_per_group(df: DataFrame, group: str, item: str, score: str, n: int = 10)
     a null group, null item, or a score that is null or NaN don't count; of
     equal scores the smaller item (code points) comes first; repeated rows
     change nothing; groups with fewer items come out whole; an empty table
-    gives no rows; other columns are ignored.  ``df`` should be a table scan:
-    it is read once per band, with the band's bounds pushed to the scan.
+    gives no rows; other columns are ignored.
+
+    The table is read twice, for the band edges and to write the bands; each
+    band is then read once.
     """
     rows = df.select(F.col(group).alias("_g"), F.col(item).alias("_i"), F.col(score).cast("double").alias("_s")).where(
         F.col("_g").isNotNull() & F.col("_i").isNotNull() & F.col("_s").isNotNull() & ~F.isnan("_s")
     )
     edges = band_edges(rows, n)
-    bounds = list(zip([None, *edges], [*edges, None]))
+    number = F.lit(len(edges))
+    for k, edge in reversed(list(enumerate(edges))):
+        number = F.when(F.col("_s") >= edge, k).otherwise(number)
+    bands = written(rows.withColumn("band", number), "bands", by=["band"]) if edges else rows.withColumn("band", number)
     done: list[DataFrame] = []  # ranked rows of filled groups, per band
     filled: list[DataFrame] = []  # names of those groups, one row each
     carried: DataFrame | None = None
-    for k, (above, below) in enumerate(bounds):
-        band = rows
-        if above is not None:
-            band = band.where(F.col("_s") < above)
-        if below is not None:
-            band = band.where(F.col("_s") >= below)
+    for k in range(len(edges) + 1):
+        band = bands.where(F.col("band") == k).drop("band")
         for groups in filled:
             band = band.join(groups, "_g", "left_anti")
         if carried is not None:
             band = band.unionByName(carried)
         top = _ranked(band, n)
-        if k == len(bounds) - 1:
+        if k == len(edges):
             done.append(top)
             break
         top = written(top, f"band{k}")
         names = top.where(F.col("_r") == n).select("_g")
-        filled.append(F.broadcast(names) if names.count() <= BROADCAST_GROUPS else names)
+        size = names.agg(F.sum(F.octet_length(F.col("_g").cast("string")) + 16)).first()[0] or 0
+        filled.append(F.broadcast(names) if size <= BROADCAST_BYTES else names)
         done.append(top.where(F.col("_n") >= n))
         carried = top.where(F.col("_n") < n).select("_g", "_i", "_s")
     out = reduce(DataFrame.unionByName, (x.select("_g", "_i", "_s", "_r") for x in done))
