@@ -7,6 +7,8 @@ pattern are made by rule from their parts.
 
 from __future__ import annotations
 
+from http import HTTPStatus
+
 #: Names that templates give their slots; a slot in soft brackets must bear one.
 SLOT_NAMES = """
 company name
@@ -47,6 +49,16 @@ date
 deadline
 benefit
 benefits
+candidate
+candidate name
+applicant
+applicant name
+client
+client name
+customer name
+team name
+company blurb
+your name
 responsibilities
 requirements
 skills
@@ -85,6 +97,51 @@ date de début
 à compléter
 """
 
+#: Further words of field names: a slot that bears one is a slot of a record template.
+FIELD_WORDS = """
+name title role company employer city town location place address country dept department team manager recruiter contact
+first last full email phone website url link salary pay wage range currency start end date deadline benefit benefits
+responsibilities requirements skills skill description summary text number amount industry reference client customer
+candidate applicant user value field id insert enter fill add here if endif for endfor else end each block include
+firma firmenname gehalt ort datum stelle stellenbezeichnung abteilung ansprechpartner einfügen ausfüllen
+empresa ciudad puesto fecha sueldo salario insertar nombre
+entreprise salaire ville poste compléter insérer nom
+"""
+
+#: Words that a record puts in front of a value.
+FIELD_LABELS = """
+name title position role company employer location city place department team contact email phone website salary pay
+date deadline start reference dear about to by at for with in join
+firma arbeitgeber ort arbeitsort standort gehalt stelle beginn kontakt bei
+empresa ciudad lugar sueldo salario puesto fecha contacto
+entreprise employeur lieu ville salaire poste date chez
+"""
+
+#: Words that may stand anywhere in a notice without changing it.
+SOFT_WORDS = """
+sorry unfortunately sadly currently properly anymore again just now today temporarily apparently
+leider derzeit momentan aktuell gerade bitte lamentablemente actualmente desgraciadamente malheureusement actuellement
+"""
+
+#: Words of a text that speaks about slots rather than having one.
+TALK_OF_SLOTS = """
+template templates templating placeholder placeholders variable variables interpolation interpolate syntax operator operators
+macro macros handlebars mustache jinja liquid printf bash regex constructor
+vorlage vorlagen platzhalter plantilla plantillas gabarit gabarits
+"""
+
+#: Further words of a text that speaks about code, where an odd value is no gap.
+TALK = """
+expression expressions statement statements string strings literal literals method methods class classes function functions
+behaviour behavior null nullable shell css attribute attributes decorator decorators notebook notebooks escape escaping parser
+parsers arrays maps generics
+"""
+
+#: Words of a text that speaks about errors as work.
+TALK_OF_ERRORS = """
+why when whether users customers colleagues explain handle monitor debug fix reduce investigate catch gracefully replace
+"""
+
 #: Filler prose; a passage made of these words is filler.  The words of the usual generators,
 #: less those that ads use themselves (alias, at, error, integer, minus, massa, libero).
 FILLER_WORDS = """
@@ -172,11 +229,8 @@ insérer le texte ici
 ceci est un faux texte
 """
 
-#: Values that stand where a template found nothing to fill in.
-EMPTY_VALUES = """
-undefined
-xxx
-"""
+#: Values that stand where a template found nothing to fill in, outside of talk about code.
+EMPTY_VALUES = ("undefined", "xxx")
 
 ERROR_PAGES = """
 the page you asked for could not be found
@@ -317,12 +371,95 @@ activez javascript pour continuer
 cette page nécessite javascript
 """
 
-SCRIPT_SUBJECTS = ("page", "site", "app", "portal", "viewer", "board", "website")
+SCRIPT_SUBJECTS = ("page", "site", "app", "portal", "viewer", "board", "website", "application", "form", "content", "feature")
 SCRIPT_VERBS = (
     "needs", "requires", "relies on", "depends on", "cannot run without", "will not work without",
-    "does not work without", "works only with",
+    "does not work without", "works only with", "only works with", "cannot be shown without", "is built with",
 )
 SCRIPT_NOUNS = ("js", "javascript", "scripts", "scripting")
+#: What a browser has, and what is done about it; each with each.
+SCRIPT_STATES = (
+    "are disabled", "is disabled", "are turned off", "is turned off", "are switched off", "is switched off", "are blocked", "is blocked",
+    "are not enabled", "is not enabled", "is not supported", "are not supported", "must be enabled", "must be turned on",
+)
+SCRIPT_STATES += (
+    "turned off", "switched off", "disabled", "blocked", "not supported", "not enabled", "which is blocked",
+    "seems to be disabled", "seems to be turned off", "seems to be off", "appears to be disabled", "to be enabled", "to be turned on",
+    "switched on", "turned on", "was not detected", "could not be loaded", "not available",
+)
+#: Other languages: before and after the noun.
+SCRIPT_FRAMES_OTHER = (
+    "schalten sie {} ein", "muss {} aktiviert sein", "muss {} eingeschaltet sein", "aktivieren sie {}", "erlauben sie {}", "ohne {} nicht",
+    "{} ist ausgeschaltet", "{} ist nicht aktiviert", "{} wird benötigt", "{} erforderlich", "{} einschalten", "{} aktivieren",
+    "debe activar {}", "debe habilitar {}", "necesita activar {}", "active {} para ver", "{} está desactivado", "{} está deshabilitado", "requiere {}", "sin {} no",
+    "vous devez activer {}", "merci d activer {}", "autorisez {}", "{} est désactivé", "{} doit être activé", "nécessite {}", "sans {}",
+)
+SCRIPT_ASKS = ("turn on", "enable", "switch on", "allow", "activate")
+SCRIPT_AIMS = ("to view this", "to see this", "to continue", "to proceed", "in your browser", "and reload", "and try again", "to use this", "to load this")
+
+#: What an error page speaks of, and what has become of it; each with each.  The two may stand apart.
+ERROR_SUBJECTS = (
+    "page", "webpage", "advert", "resource", "content", "document", "file", "site", "website", "url", "link", "address", "article", "job", "vacancy",
+    "position", "listing", "posting", "advert", "offer", "record", "server", "service", "request", "connection", "host", "gateway",
+)
+ERROR_STATES = (
+    "could not be found", "cannot be found", "can not be found", "was not found", "is not found", "does not exist", "doesn t exist",
+    "no longer exists", "not exist anymore", "cannot be located", "could not be located", "has been removed", "has been deleted",
+    "has been taken down", "is no longer available", "is not available", "is unavailable", "is currently unavailable",
+    "is temporarily unavailable", "has expired", "could not be loaded", "cannot be loaded", "failed to load", "could not be displayed",
+    "cannot be displayed", "could not be reached", "cannot be reached", "could not be completed", "could not be processed",
+    "was rejected", "was denied", "was refused", "was reset", "has timed out", "took too long to respond", "is not responding",
+    "no longer works", "does not work", "is not working", "is broken", "does not open", "did not load", "did not respond", "temporarily unavailable",
+    "refused the connection", "closed the connection", "encountered an unexpected error", "timed out", "you are trying to open does not exist",
+    "is under maintenance", "is down for maintenance", "is overloaded", "encountered an error", "returned an error",
+)
+#: What "we" say of an error, whole.
+ERROR_SAID = (
+    "unable to load page", "unable to load vacancy", "unable to load this", "error loading page", "error loading vacancy", "failed to load page", "failed to load vacancy",
+    "session timed out please", "session expired please", "please sign in once more", "please sign in again", "fehler beim laden", "interner serverfehler", "fehler 0",
+    "error al cargar", "error interno del servidor", "erreur interne du serveur", "erreur de chargement", "nothing lives at this address", "nothing found at this address",
+    "we can t find", "we can t seem to find", "we couldn t find", "we cannot find the page", "we could not find", "we were unable to load", "we were unable to find",
+    "we are unable to load", "we are having trouble loading", "we hit a snag", "we ran into a problem", "we ran into an error", "something broke on our end",
+    "something went wrong on our end", "there was a problem loading", "there was an error loading", "there was a problem with your request",
+    "nothing to see here", "you do not have access to this", "you do not have permission to access", "you do not have permission to view",
+    "you are not allowed to view", "you are not authorised to view", "you are not authorized to view", "your connection was interrupted", "your connection was lost",
+    "the connection was interrupted", "request blocked by", "blocked for security reasons", "please refresh the page", "please reload the page", "try reloading the page",
+    "check the address and try again", "go back to the home page", "return to the homepage", "report this problem to the administrator",
+    "seems to have vanished", "has moved or been deleted", "may have been moved or deleted", "may have been removed",
+)
+#: The same in German, Spanish and French.
+ERROR_SUBJECTS_OTHER = (
+    "seite", "anzeige", "stelle", "datei", "inhalt", "dokument", "anfrage", "server", "dienst", "verbindung", "link",
+    "página", "oferta", "archivo", "contenido", "recurso", "servidor", "servicio", "solicitud", "enlace", "documento",
+    "page", "offre", "fichier", "contenu", "ressource", "serveur", "service", "requête", "lien", "annonce",
+)
+ERROR_STATES_OTHER = (
+    "konnte nicht gefunden werden", "wurde nicht gefunden", "existiert nicht", "existiert nicht mehr", "ist nicht mehr verfügbar",
+    "ist nicht verfügbar", "ist derzeit nicht erreichbar", "wurde gelöscht", "wurde entfernt", "ist abgelaufen", "konnte nicht geladen werden",
+    "konnte nicht verarbeitet werden", "konnte nicht angezeigt werden", "antwortet nicht", "wurde abgelehnt",
+    "no se ha encontrado", "no se encuentra", "no existe", "ya no existe", "ya no está disponible", "no está disponible", "ha sido eliminada",
+    "ha sido eliminado", "ha caducado", "no se pudo cargar", "no se puede mostrar", "no responde", "no pudo procesarse",
+    "n a pas été trouvée", "n a pas été trouvé", "n existe pas", "n existe plus", "n est plus disponible", "n est pas disponible",
+    "a été supprimée", "a été supprimé", "a expiré", "n a pas pu être chargée", "n a pas pu être affichée", "ne répond pas", "est introuvable",
+)
+
+#: Filler by its parts: what stands for the text, and what is to become of it.
+FILLER_SUBJECTS = ("text", "copy", "content", "description", "wording", "summary", "details", "paragraph", "headline", "bullet points")
+FILLER_STATES = (
+    "goes here", "comes here", "could be here", "will be added", "will be added here", "to be added", "to be supplied", "to be provided",
+    "to be confirmed", "to be written", "to follow", "will follow", "is pending", "coming soon", "to come", "to be inserted", "needed here", "missing here",
+)
+FILLER_WHOLE_OTHER = (
+    "your headline here", "headline here", "your description here", "your title here", "your summary here", "your copy here", "tbc tbc tbc",
+    "text wird ergänzt", "text wird nachgereicht", "wird noch ergänzt", "beschreibung folgt", "text folgt", "inhalt wird ergänzt", "bitte text einfügen", "hier beschreibung einfügen",
+    "aquí va el texto", "texto aquí", "descripción pendiente", "texto por definir", "texto provisional", "escriba aquí su texto", "contenido pendiente", "añadir texto aquí",
+    "texte provisoire", "texte ici", "votre texte ici", "description à venir", "à remplacer", "ajouter le texte ici", "texte à définir", "contenu provisoire",
+    "is placeholder text", "is placeholder copy", "is dummy text", "is dummy copy", "is sample copy", "is filler text", "placeholder for the", "replace this text", "replace this paragraph",
+)
+FILLER_ASKS = ("add", "insert", "enter", "type", "write", "put", "paste", "describe", "replace")
+FILLER_OBJECTS = ("text here", "your text", "your own text", "this text", "description here", "your description", "copy here", "content here", "details here", "role here")
+FILLER_NOTES = ("fixme", "todo", "tbd", "tbc", "placeholder", "dummy", "sample", "example")
+FILLER_THINGS = ("text", "copy", "content", "description", "describe role", "describe the role", "add text", "add description", "fill in", "write this", "rewrite this")
 
 #: Texts that only speak of placeholders, filler, errors or scripts.
 MENTIONS = """
@@ -355,12 +492,43 @@ def lines(block: str) -> list[str]:
     return [line.strip() for line in block.strip().splitlines() if line.strip()]
 
 
-def residue_exemplars() -> list[tuple[str, str]]:
-    """``(label, text)`` of every residue exemplar but slots and filler prose."""
-    out = [("filler", x) for x in lines(FILLER)] + [("placeholder", x) for x in lines(EMPTY_VALUES)]
-    out += [("error page", x) for x in lines(ERROR_PAGES)] + [("scripts required", x) for x in lines(SCRIPT_NOTICES)]
+def contracted(text: str) -> list[str]:
+    """A wording and its contracted form."""
+    out = [text]
+    for full, short in (("cannot", "can t"), ("can not", "can t")):
+        if full in text:
+            out.append(text.replace(full, short))
+    for verb in ("does", "do", "could", "was", "is", "are", "has"):
+        if f"{verb} not" in text:
+            out.append(text.replace(f"{verb} not", f"{verb}n t"))
+    return out
+
+
+def residue_exemplars() -> list[tuple[str, str, bool]]:
+    """``(label, text, made)`` of every residue exemplar but slots, filler prose and those of two parts.
+
+    ``made``: put together by rule from words that content uses as well.
+    """
+    out = [("filler", x, False) for x in lines(FILLER)]
+    out += [("filler", f"{note} {thing}", True) for note in FILLER_NOTES for thing in FILLER_THINGS]
+    out += [("filler", f"{ask} {thing}", True) for ask in FILLER_ASKS for thing in FILLER_OBJECTS]
+    out += [("filler", x, True) for x in FILLER_WHOLE_OTHER] + [("error page", x, True) for said in ERROR_SAID for x in contracted(said)]
+    # The reason phrases of the public protocol, by rule.
+    out += [("error page", status.phrase.lower().replace("-", " "), True) for status in HTTPStatus if status >= 400 and " " in status.phrase]
+    out += [("scripts required", frame.format(noun), False) for frame in SCRIPT_FRAMES_OTHER for noun in SCRIPT_NOUNS]
+    out += [("error page", x, False) for x in lines(ERROR_PAGES)] + [("scripts required", x, False) for x in lines(SCRIPT_NOTICES)]
     out += [
-        ("scripts required", f"{subject} {verb} {noun}")
+        ("scripts required", f"{subject} {verb} {noun}", False)
         for subject in SCRIPT_SUBJECTS for verb in SCRIPT_VERBS for noun in SCRIPT_NOUNS
     ]
+    out += [("scripts required", f"{ask} {noun} {aim}", False) for ask in SCRIPT_ASKS for noun in SCRIPT_NOUNS for aim in SCRIPT_AIMS]
+    return out
+
+
+def two_part_exemplars() -> list[tuple[str, str, str]]:
+    """``(label, first, second)``: parts that stand in this order, other words between them."""
+    out = [("error page", a, x) for a in ERROR_SUBJECTS for b in ERROR_STATES for x in contracted(b)]
+    out += [("error page", a, b) for a in dict.fromkeys(ERROR_SUBJECTS_OTHER) for b in ERROR_STATES_OTHER]
+    out += [("scripts required", a, b) for a in SCRIPT_NOUNS for b in SCRIPT_STATES]
+    out += [("filler", a, b) for a in FILLER_SUBJECTS for b in FILLER_STATES]
     return out
