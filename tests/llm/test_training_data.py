@@ -284,7 +284,7 @@ def test_encode_table(spark, reference):
 # --- 7 ------------------------------------------------------------------------------------
 
 
-def test_leaks_against_brute_force(spark):
+def test_leaks_against_brute_force(spark, monkeypatch):
     rng = random.Random(7)
     vocabulary = [f"w{k}" for k in range(60)]
     items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([8, 30, 60])))) for k in range(40)]
@@ -307,9 +307,13 @@ def test_leaks_against_brute_force(spark):
     want = {(d, i) for d, t in texts if d is not None and t for w in [leak.words_of(t)] for s in range(len(w) - 11) for i in runs.get(tuple(w[s : s + 12]), ())}
     corpus = spark.createDataFrame([(d, t, 1) for d, t in texts], "i long, t string, d int")
     tests = spark.createDataFrame([*items, (None, "x"), (77, None)], "d long, t string")
-    for block in (1000, 15):
+    for block, busy in ((1000, 200_000), (15, 200_000), (2, 3)):
+        monkeypatch.setattr(leak, "BUCKET_PASSAGES", busy)
         got = [tuple(r) for r in leak.leaked_items(corpus, "i", "t", tests, "d", "t", block_items=block).collect()]
         assert set(got) == want and len(got) == len(want) > 20
+    for run in (1, 2, 30):
+        few = {tuple(r) for r in leak.leaked_items(corpus, "i", "t", tests, "d", "t", run, block_items=5).collect()}
+        assert few == {tuple(r) for r in leak.leaked_items(corpus, "i", "t", tests, "d", "t", run).collect()}
     assert leak.leaked_items(corpus, "i", "t", tests.limit(0), "d", "t").count() == 0
     assert leak.leaked_items(corpus.limit(0), "i", "t", tests, "d", "t").count() == 0
 
