@@ -75,7 +75,7 @@ def _pair_places(size: int) -> tuple[np.ndarray, np.ndarray]:
 def _expand(item_bits: int, wide: bool, kept: np.ndarray | None):
     """Batches of ``(g, left, right)`` to sorted runs of pair codes.
 
-    ``right`` null: all pairs within ``left``; set: only those across the two.
+    ``right`` empty: all pairs within ``left``; else only those across the two.
     ``kept``: sorted codes (group, item) of the items that count; None: all do.
     """
     low_bits = 2 * item_bits
@@ -110,7 +110,7 @@ def _expand(item_bits: int, wide: bool, kept: np.ndarray | None):
 
         for batch in batches:
             g, left, right = batch.column("g"), batch.column("left"), batch.column("right")
-            across = np.flatnonzero(right.is_valid().to_numpy(zero_copy_only=False))
+            across = np.flatnonzero(np.diff(right.offsets.to_numpy()))
             group = g.to_numpy().astype(np.int64)
             whole = np.setdiff1d(np.arange(len(group)), across)
             sizes = np.diff(left.offsets.to_numpy())[whole]
@@ -197,7 +197,8 @@ def _units(light: DataFrame, heavy: DataFrame | None) -> DataFrame:
 
     Pairs of parts meet under the second part's number, so one basket spreads.
     """
-    nothing = F.lit(None).cast("array<bigint>").alias("right")
+    # Empty, as null arrays are written to Arrow many times slower.
+    nothing = F.array().cast("array<bigint>").alias("right")
     units = light.select("g", "h", "left", nothing)
     if heavy is None:
         return units
@@ -300,9 +301,11 @@ def _pruned(units: DataFrame, single: DataFrame) -> DataFrame:
             .groupBy("g", "h", "u").agg(F.collect_list("i").alias(side))
         )
         sides.append(kept)
-    paired = numbered_units.select("g", "h", "u", F.col("right").isNotNull().alias("cross")).join(sides[0], ["g", "h", "u"])
+    paired = numbered_units.select("g", "h", "u", (F.size("right") > 0).alias("cross")).join(sides[0], ["g", "h", "u"])
     out = paired.join(sides[1], ["g", "h", "u"], "left")
-    return out.where(~F.col("cross") | F.col("right").isNotNull()).select("g", "h", "left", "right")
+    return out.where(~F.col("cross") | F.col("right").isNotNull()).select(
+        "g", "h", "left", F.coalesce("right", F.array().cast("array<bigint>")).alias("right")
+    )
 
 
 def _named(counted: DataFrame, group: str, items: DataFrame, groups: DataFrame, times: int) -> DataFrame:
