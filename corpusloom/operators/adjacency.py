@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import stats
 from corpusloom.operators.cells import BOILERPLATE, CELL
+from corpusloom.operators.numbering import numbered
+from corpusloom.runtime import written
 
 GRAPH_LIFT, HUB_SUPPORT, HUB_LIFT = 1.3, 0.60, 1.05
 GRAPH_PERCENT, GRAPH_LEAST = 3, 3
 ANALYSIS_PERCENT, ANALYSIS_LEAST = 5, 5
+#: Concepts of an ad whose pairs are made at once.
+BLOCK = 512
 
 
 def countable(facts: DataFrame) -> DataFrame:
@@ -22,12 +26,16 @@ def singles(facts: DataFrame) -> DataFrame:
     return facts.groupBy(*CELL, "concept_id").agg(F.count(F.lit(1)).alias("count"))
 
 
-def joint_counts(facts: DataFrame, ads: DataFrame, prune: bool = True) -> DataFrame:
+def joint_counts(facts: DataFrame, ads: DataFrame, prune: bool = True, block: int = BLOCK) -> DataFrame:
     """Pairs ``concept_a < concept_b`` with joint and single counts.
 
     ``prune``: concepts too rare for either floor are left out before pairs are
     made.  A pair is no more frequent than its rarer concept, so pairs that
     reach a floor are all there; those below may be missing.
+
+    Each concept of a cell gets a number in name order, so a pair is two longs
+    until it is counted.  An ad of more than ``block`` concepts is cut into
+    blocks and gives its pairs block by block.
     """
     single = singles(facts).join(ads, CELL)
     if prune:
@@ -36,17 +44,21 @@ def joint_counts(facts: DataFrame, ads: DataFrame, prune: bool = True) -> DataFr
             stats.floor_of(n, GRAPH_PERCENT, GRAPH_LEAST), stats.floor_of(n, ANALYSIS_PERCENT, ANALYSIS_LEAST)
         )
         single = single.where(F.col("count") >= least)
-    kept = facts.select(*CELL, "posting_id", "concept_id").join(single.select(*CELL, "concept_id", "count", "n_ads"), [*CELL, "concept_id"])
+    single = written(numbered(single, *CELL, "concept_id", name="s"), "singles")
+    kept = facts.select(*CELL, "posting_id", "concept_id").join(single.select(*CELL, "concept_id", "s"), [*CELL, "concept_id"])
     # Baskets as arrays: one shuffle by ad, pairs are made within the row.
-    baskets = kept.groupBy(*CELL, "posting_id").agg(F.array_sort(F.collect_set("concept_id")).alias("c"))
-    pairs = baskets.where(F.size("c") > 1).select(
-        *CELL,
-        F.explode(F.expr("flatten(transform(c, (x, i) -> transform(slice(c, i + 2, size(c)), y -> struct(x AS a, y AS b))))")).alias("p"),
-    )
-    joint = pairs.groupBy(*CELL, F.col("p.a").alias("concept_a"), F.col("p.b").alias("concept_b")).agg(F.count(F.lit(1)).alias("count_ab"))
-    a = single.select(*CELL, F.col("concept_id").alias("concept_a"), F.col("count").alias("count_a"), "n_ads")
-    b = single.select(*CELL, F.col("concept_id").alias("concept_b"), F.col("count").alias("count_b"))
-    return joint.join(a, [*CELL, "concept_a"]).join(b, [*CELL, "concept_b"])
+    baskets = kept.groupBy(*CELL, "posting_id").agg(F.array_sort(F.collect_set("s")).alias("c")).where(F.size("c") > 1).select("c")
+    parts = f"sequence(1, size(c), {block})"
+    units = baskets.select(F.explode(F.expr(
+        f"flatten(transform({parts}, i -> transform(filter({parts}, j -> j >= i), j -> struct(slice(c, i, {block}) AS x, slice(c, j, {block}) AS y, i = j AS same))))"
+    )).alias("u")).select("u.*")
+    pairs = units.select(F.explode(F.expr(
+        "flatten(transform(x, (a, k) -> transform(if(same, slice(y, k + 2, size(y)), y), b -> struct(a, b))))"
+    )).alias("p")).select("p.a", "p.b")
+    joint = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("count_ab"))
+    a = single.select(*CELL, F.col("s").alias("a"), F.col("concept_id").alias("concept_a"), F.col("count").alias("count_a"), "n_ads")
+    b = single.select(F.col("s").alias("b"), F.col("concept_id").alias("concept_b"), F.col("count").alias("count_b"))
+    return joint.join(a, "a").join(b, "b").select(*CELL, "concept_a", "concept_b", "count_ab", "count_a", "n_ads", "count_b")
 
 
 def measured(pairs: DataFrame) -> DataFrame:

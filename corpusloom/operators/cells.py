@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,29 +84,30 @@ def top_unmatched(matched: DataFrame, by: list[str], most: int = 15) -> DataFram
 def grain_keys(facts: DataFrame, facets: DataFrame | None = None, grains: tuple[str, ...] = ("concept", "category", "type", "facet")) -> DataFrame:
     """Facts once per posting and grain key.
 
-    The concept grain is the facts themselves, already distinct; the others
-    fan in, so they are made distinct before they are counted.
+    The concept grain is the facts themselves, already distinct, and goes to
+    its count without a shuffle.  The other grains fan in: each fact gives its
+    keys at all of them at once, and these are made distinct together.
+    ``facets`` is a dimension; its values per concept are joined as one list.
     """
     base = [*CELL, "posting_id"]
     empty = F.lit("")
+    columns = {"category": "primary_category", "type": "concept_type"}
+    fan_in = [F.struct(F.lit(g).alias("grain"), empty.alias("facet_id"), F.col(c).alias("key"), F.col(c).alias("label")) for g, c in columns.items() if g in grains]
+    keys = F.array(*fan_in)
+    wide = facts
+    if "facet" in grains and facets is not None:
+        value = F.struct(F.lit("facet").alias("grain"), "facet_id", F.col("value").alias("key"), F.col("value").alias("label"))
+        lists = facets.where(F.col("value") != "none").groupBy("concept_id").agg(F.collect_set(value).alias("_values"))
+        wide = facts.join(lists, "concept_id", "left")
+        values = F.coalesce("_values", F.array().cast("array<struct<grain:string,facet_id:string,key:string,label:string>>"))
+        keys = F.concat(keys, values) if fan_in else values
+        fan_in.append(value)
     parts = []
     if "concept" in grains:
         parts.append(facts.select(*base, F.lit("concept").alias("grain"), empty.alias("facet_id"), F.col("concept_id").alias("key"), F.col("concept_label").alias("label")))
-    for grain, column in (("category", "primary_category"), ("type", "concept_type")):
-        if grain in grains:
-            c = F.col(column)
-            parts.append(facts.where(c != "").select(*base, F.lit(grain).alias("grain"), empty.alias("facet_id"), c.alias("key"), c.alias("label")).distinct())
-    if "facet" in grains and facets is not None:
-        values = facets.where(F.col("value") != "none")
-        parts.append(
-            facts.join(values, "concept_id")
-            .select(*base, F.lit("facet").alias("grain"), "facet_id", F.col("value").alias("key"), F.col("value").alias("label"))
-            .distinct()
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    if fan_in:
+        parts.append(wide.select(*base, F.explode(keys).alias("k")).select(*base, "k.*").where(F.col("key") != "").distinct())
+    return reduce(DataFrame.unionByName, parts)
 
 
 def penetration(facts: DataFrame, ads: DataFrame, facets: DataFrame | None = None, grains: tuple[str, ...] = ("concept", "category", "type", "facet")) -> DataFrame:

@@ -9,30 +9,42 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.numbering import numbered
 from corpusloom.runtime import written
 
 #: Edges up to which a component is split within one task.
 LOCAL_EDGES = 200_000
 
 
-def components(edges: DataFrame, a: str, b: str, nodes: DataFrame | None = None, most_rounds: int = 60) -> DataFrame:
+def components(
+    edges: DataFrame, a: str, b: str, nodes: DataFrame | None = None, most_rounds: int = 60, local_edges: int = LOCAL_EDGES
+) -> DataFrame:
     """``(node, component)`` with the smallest node as the component's name (G1).
 
-    Each round takes the smallest label among a node's neighbours, then the
-    label of that label, so long chains halve; rounds are written to the shared
-    folder and end when no label changes.  ``nodes(node)`` adds isolated nodes.
+    A graph of up to ``local_edges`` edges is joined up in one task.  For a
+    larger one each round takes the smallest label among a node's neighbours,
+    then the label of that label, so long chains halve; a round is one table
+    in the shared folder, and rounds end when no label changes.
+    ``nodes(node)`` adds isolated nodes.
     """
-    links = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where(F.col("x") != F.col("y"))
-    links = written(links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "links")
-    ends = edges.select(F.col(a).alias("node")).unionByName(edges.select(F.col(b).alias("node")))
+    links = written(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).distinct(), "links")
+    ends = links.select(F.col("x").alias("node")).unionByName(links.select(F.col("y").alias("node")))
+    links = links.where(F.col("x") != F.col("y"))
+    if links.count() <= local_edges:
+        joined = _joined_up(links)
+        if nodes is not None:
+            ends = ends.unionByName(nodes.select("node"))
+        alone = ends.distinct().join(joined.select("node"), "node", "left_anti").select("node", F.col("node").alias("component"))
+        return joined.unionByName(alone)
     if nodes is not None:
         ends = ends.unionByName(nodes.select("node"))
+    both = written(links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "links")
     labels = written(ends.distinct().withColumn("component", F.col("node")), "labels")
     for _ in range(most_rounds):
-        near = links.join(labels.withColumnsRenamed({"node": "y", "component": "l"}), "y").groupBy(F.col("x").alias("node")).agg(F.min("l").alias("l"))
+        near = both.join(labels.withColumnsRenamed({"node": "y", "component": "l"}), "y").groupBy(F.col("x").alias("node")).agg(F.min("l").alias("l"))
         lower = labels.join(near, "node", "left").select("node", F.col("component").alias("old"), F.least("component", F.coalesce("l", "component")).alias("mid"))
-        lower = written(lower, "round")
-        jump = lower.select(F.col("node").alias("mid"), F.col("mid").alias("far"))
+        # The label of the label, as of the round before: it lies in the same component and is no larger.
+        jump = labels.select(F.col("node").alias("mid"), F.col("component").alias("far"))
         new = written(lower.join(jump, "mid", "left").select("node", "old", F.least("mid", F.coalesce("far", "mid")).alias("component")), "labels")
         labels = new.select("node", "component")
         if new.where(F.col("old") != F.col("component")).isEmpty():
@@ -40,6 +52,29 @@ def components(edges: DataFrame, a: str, b: str, nodes: DataFrame | None = None,
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
+def _joined_up(links: DataFrame) -> DataFrame:
+    """Components of a small graph in one task."""
+    kind = dict(links.dtypes)["x"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parent: dict = {}
+
+        def root(x):
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for batch in batches:
+            for x, y in zip(batch["x"], batch["y"]):
+                x, y = root(x), root(y)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+        yield pd.DataFrame([(x, root(x)) for x in list(parent)], columns=["node", "component"], dtype=object)
+
+    return written(links.coalesce(1).mapInPandas(run, f"node {kind}, component {kind}"), "labels")
+
+
 def nearest(vectors: DataFrame, row_id: str, vector: str, k: int, block: int = 4096) -> DataFrame:
     """``(a, b, similarity)``, ``a < b``: b among the k nearest of a or a among those of b.
 
@@ -189,9 +224,7 @@ def ordered_groups(groups: DataFrame, weights: DataFrame) -> DataFrame:
     """Dense group numbers from 0, by total mentions falling, then first member."""
     joined = groups.join(weights, "node")
     totals = joined.groupBy("piece").agg(F.sum("weight").alias("total"), F.min("node").alias("first"), F.count(F.lit(1)).alias("size"))
-    # Numbering is a total order over groups: one row per group, a few numbers each.
-    order = Window.orderBy(F.desc("total"), "first")
-    return totals.withColumn("group_id", F.row_number().over(order) - 1)
+    return numbered(totals, F.desc("total"), "first", name="group_id")
 
 
 def closure(edges: DataFrame, most_depth: int = 20) -> DataFrame:

@@ -174,7 +174,8 @@ def judged_edges(pairs: DataFrame, counts: DataFrame, stopwords: Iterable[str],
     """Candidate pairs with the reason that speaks against a roll-up edge, or null.
 
     ``pairs(a, b)`` in any direction; the side with fewer content tokens is the
-    parent.  ``stopword_only``: what becomes of edges that exist only because a
+    parent.  ``dropped``: words of the parent that the child lacks, where only
+    a stop word made the pair.  ``stopword_only``: what becomes of edges that exist only because a
     stop word vanished (``related``, ``reject`` or ``rollup``).
     """
     stop, heads = sorted(set(stopwords)), sorted(set(parent_stop))
@@ -199,7 +200,8 @@ def judged_edges(pairs: DataFrame, counts: DataFrame, stopwords: Iterable[str],
     if stopword_only in ("related", "reject"):
         reason = reason.when(sibling, f"stopword-only subset -> {'related' if stopword_only == 'related' else 'rejected'}")
     reason = reason.when(F.col("parent_mentions").isNull(), "parent never occurs standalone")
-    return known.withColumn("reason", reason).select("a", "b", "parent", "child", "parent_mentions", F.coalesce("child_mentions", F.lit(0)).alias("child_mentions"), "reason")
+    dropped = F.when(reason.startswith("stopword-only"), F.array_sort(F.array_except(p, c)))
+    return known.select("a", "b", "parent", "child", "parent_mentions", F.coalesce("child_mentions", F.lit(0)).alias("child_mentions"), reason.alias("reason"), dropped.alias("dropped"))
 
 
 def rollup_edges(judged: DataFrame) -> DataFrame:
@@ -231,17 +233,39 @@ def acronym_dominance(forms: DataFrame, min_gain: int = 10, ratio: float = 5.0)
     return ranked.select("acronym", "spelled_out", "gain", F.coalesce("next", F.lit(0)).alias("runner_up"), verdict.alias("verdict"))
 
 
-def first_word_pairs(counts: DataFrame, cutoff: int = 88, min_count: int = 2, most_length: int = 60) -> DataFrame:
+def first_word_pairs(counts: DataFrame, cutoff: int = 88, min_count: int = 2, most_length: int = 60, hot: int = 5_000) -> DataFrame:
     """``(a, b, score)``: forms with the same first word and a high token-set ratio.
 
-    Counts per letter pair bound the ratio from above before any pair reaches
-    Python: only pairs whose lengths allow the cutoff are scored.
+    The ratio is the best of three: of the shared words with all words of
+    either form, which follows from lengths, and of the two rests, which their
+    lengths bound from above.  Only pairs whose rests could decide reach Python.
+    A first word of more than ``hot`` forms is cut into salts on one side and
+    repeated on the other.
     """
-    kept = counts.where((F.col("count") >= min_count) & (F.length("form") <= most_length)).withColumn("first", F.split("form", " ")[0])
-    a = kept.select("first", F.col("form").alias("a"))
-    b = kept.select("first", F.col("form").alias("b"))
+    kept = counts.where((F.col("count") >= min_count) & (F.length("form") <= most_length)).select(
+        "form", F.split("form", " ")[0].alias("first"), F.array_sort(F.array_distinct(F.filter(F.split("form", r"\s+"), lambda w: w != ""))).alias("t")
+    ).where(F.size("t") > 0)
+    salts = kept.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / F.lit(hot)).cast("int").alias("salts"))
+    salted = kept.join(salts, "first")
+    a = salted.select("first", F.col("form").alias("a"), F.col("t").alias("ta"), F.pmod(F.xxhash64("form"), "salts").cast("int").alias("salt"))
+    b = salted.select("first", F.col("form").alias("b"), F.col("t").alias("tb"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    pairs = a.join(b, ["first", "salt"]).where(F.col("a") < F.col("b")).select("a", "b", "ta", "tb")
+
+    def letters(words: Column) -> Column:
+        return F.length(F.array_join(words, " "))
+
+    both, left, right = F.array_intersect("ta", "tb"), F.array_except("ta", "tb"), F.array_except("tb", "ta")
+    base = letters(both)
+    gap = F.when(base > 0, 1).otherwise(0)
+    sized = pairs.withColumns({
+        "base": base, "inside": (F.size(both) > 0) & ((F.size(left) == 0) | (F.size(right) == 0)), "one": base + gap + letters(left), "two": base + gap + letters(right),
+    })
+    known = F.when(F.col("base") > 0, F.greatest(*(200.0 * F.col("base") / (F.col("base") + F.col(x)) for x in ("one", "two")))).otherwise(0.0)
+    bound = 200.0 * F.least("one", "two") / (F.col("one") + F.col("two"))
+    judged = sized.withColumns({"known": F.when(F.col("inside"), 100.0).otherwise(known), "open": ~F.col("inside") & (bound >= cutoff)})
     ratio = F.pandas_udf(_token_set_ratios, "double")
-    return a.join(b, "first").where(F.col("a") < F.col("b")).select("a", "b", ratio("a", "b").alias("score")).where(F.col("score") >= cutoff)
+    scored = judged.where("open").select("a", "b", ratio("a", "b").alias("score"))
+    return scored.unionByName(judged.where("NOT open").select("a", "b", F.col("known").alias("score"))).where(F.col("score") >= cutoff)
 
 
 def _token_set_ratios(a: pd.Series, b: pd.Series) -> pd.Series:

@@ -195,7 +195,16 @@ def threshold_components(spark: SparkSession, d: str) -> DataFrame:
     return g.threshold_components(_knn(spark, d), THRESHOLD, _nodes(spark, d))
 
 
-@query()
+# Components at every threshold: a node's piece is its component at the first one where that is small enough.
+_PIECES = _CC + """, lv AS (SELECT k, round(0.35 + k * 0.01, 4) AS t FROM (SELECT unnest(range(0, 65)) AS k)),
+le AS (SELECT k, a AS x, b AS y FROM knn JOIN lv ON similarity >= t UNION SELECT k, b, a FROM knn JOIN lv ON similarity >= t),
+lw AS (SELECT k, vec_id AS node, vec_id AS comp FROM v, lv WHERE k > 0 UNION SELECT lw.k, le.y, lw.comp FROM lw JOIN le ON le.k = lw.k AND le.x = lw.node),
+lc AS (SELECT k, node, min(comp) AS comp FROM lw GROUP BY k, node UNION ALL SELECT 0, node, component FROM cc),
+sz AS (SELECT k, comp, count(*) AS n FROM lc GROUP BY k, comp),
+pc AS (SELECT node, arg_min(comp, k) AS piece, min(k) AS k FROM lc JOIN sz USING (k, comp) WHERE n <= 8 GROUP BY node)"""
+
+
+@query(f"WITH RECURSIVE {_PIECES} SELECT node, piece, CAST(t AS DOUBLE) AS threshold FROM pc JOIN lv USING (k)")
 def split_oversized(spark: SparkSession, d: str) -> DataFrame:
     """Groups of at most eight."""
     return _pieces(spark, d)
@@ -209,7 +218,8 @@ def group_similarity(spark: SparkSession, d: str) -> DataFrame:
     return g.group_similarity(labels, table(spark, d, "embeddings"), "vec_id", "embedding")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_PIECES} SELECT piece, total, "first", size, row_number() OVER (ORDER BY total DESC, "first") - 1 AS group_id
+FROM (SELECT piece, CAST(sum(label + 1) AS BIGINT) AS total, min(node) AS "first", count(*) AS size FROM pc JOIN embeddings ON vec_id = node GROUP BY piece)""")
 def candidate_groups_ordered(spark: SparkSession, d: str) -> DataFrame:
     """Groups numbered by mentions."""
     weights = table(spark, d, "embeddings").select(F.col("vec_id").alias("node"), (F.col("label") + 1).cast("long").alias("weight"))

@@ -210,7 +210,21 @@ RULES = resolve.Rules(
 )
 
 
-@query()
+_RULE_ROWS = [(kind, source, target) for kind, rules in RULES.exact.items() for source, target in rules.items()]
+_RULE_SQL = f"""rules(kind, source, target) AS (VALUES {', '.join(f"('{k}', '{a}', '{b}')" for k, a, b in _RULE_ROWS)}),
+start AS (SELECT DISTINCT {m.sql_trim('lower(form)')} AS form FROM {_RAW}),
+steps AS (
+  SELECT form, form AS now, '' AS trail, 0 AS n FROM start WHERE form NOT IN ({', '.join(f"'{x}'" for x in sorted(RULES.protected))})
+  UNION ALL SELECT form, CASE WHEN target IS NOT NULL THEN target ELSE rest END, trail || CASE WHEN trail = '' THEN '' ELSE '+' END || coalesce(kind, 'empty_suffix:' || last), n + 1
+  FROM (SELECT s.*, r.target, r.kind, array_to_string(w[1:len(w) - 1], ' ') AS rest, w[-1] AS last, len(w) AS size FROM (SELECT *, list_filter(regexp_split_to_array(now, '{m.SQL_WS}+'), lambda x: x <> '') AS w FROM steps) s LEFT JOIN rules r ON r.source = s.now)
+  WHERE now NOT IN ({', '.join(f"'{x}'" for x in sorted(RULES.protected))}) AND n < 10 AND (target IS NOT NULL OR (size >= 2 AND last IN ({', '.join(f"'{x}'" for x in sorted(RULES.suffixes))})
+    AND rest NOT IN ({', '.join(f"'{x}'" for x in sorted(RULES.blocked_results))}) AND {' AND '.join(f"NOT ends_with(rest, '{x}')" for x in RULES.blocked_endings)}))
+)"""
+
+
+@query(f"""WITH RECURSIVE {_RULE_SQL}
+SELECT form, arg_max(now, n) AS normalised_form, CASE WHEN max(n) = 0 THEN 'unchanged' ELSE arg_max(trail, n) END AS method, 'rules-1' AS config_version FROM steps GROUP BY form
+UNION ALL SELECT form, form, 'protected', 'rules-1' FROM start WHERE form NOT IN (SELECT form FROM steps)""")
 def rule_engine_normalise(spark: SparkSession, d: str) -> DataFrame:
     """Rules to their rest, with the trail as method."""
     return resolve.normalised(_raw(spark, d).withColumn("form", text.join_key(F.col("form"))).distinct(), "form", RULES)
@@ -278,13 +292,32 @@ def compose_rules(spark: SparkSession, d: str) -> DataFrame:
     return resolve.composed(resolve.plural_families(counts), resolve.token_set_families(counts))
 
 
-@query()
+def _sql_common(a: str, b: str) -> str:
+    """Length of the longest common subsequence of two texts of up to 60 letters, bit by bit."""
+    places = f"list_transform(range(1, length({a}) + 1), lambda i: CASE WHEN substring({a}, i::INT, 1) = c THEN 1::BIGINT << (i - 1)::INT ELSE 0::BIGINT END)"
+    masks = f"list_transform(string_split({b}, ''), lambda c: coalesce(list_sum({places}), 0)::BIGINT)"
+    full = f"((1::BIGINT << length({a})::INT) - 1)"
+    row = f"list_reduce(list_prepend({full}, {masks}), lambda r, h: ((r + (r & h)) | (r - (r & h))) & {full})"
+    return f"(length({a}) - bit_count({row}))"
+
+
+_FUZZY = f"""{_COUNTS}, k AS (SELECT form, string_split(form, ' ')[1] AS first, list_sort(list_distinct(list_filter(regexp_split_to_array(form, '\\s+'), lambda w: w <> ''))) AS t FROM c WHERE "count" >= 2 AND length(form) <= 60),
+pr AS (SELECT a.form AS a, b.form AS b, list_sort(list_intersect(a.t, b.t)) AS bth, list_sort(list_filter(a.t, lambda w: NOT list_contains(b.t, w))) AS l, list_sort(list_filter(b.t, lambda w: NOT list_contains(a.t, w))) AS r FROM k a JOIN k b ON a.first = b.first AND a.form < b.form WHERE len(a.t) > 0 AND len(b.t) > 0),
+tx AS (SELECT a, b, len(bth) > 0 AND (len(l) = 0 OR len(r) = 0) AS inside, array_to_string(bth, ' ') AS base, array_to_string(list_concat(bth, l), ' ') AS one, array_to_string(list_concat(bth, r), ' ') AS two FROM pr),
+sc AS (SELECT a, b, CASE WHEN inside THEN 100.0::DOUBLE ELSE greatest(200.0::DOUBLE * {_sql_common('one', 'two')} / (length(one) + length(two)), CASE WHEN base = '' THEN 0 ELSE 200.0::DOUBLE * length(base) / (length(base) + length(one)) END,
+  CASE WHEN base = '' THEN 0 ELSE 200.0::DOUBLE * length(base) / (length(base) + length(two)) END) END AS score FROM tx),
+fz AS (SELECT * FROM sc WHERE score >= 88),
+fl AS (SELECT a AS x, b AS y FROM fz UNION SELECT b, a FROM fz), fw AS (SELECT x AS node, x AS comp FROM fl UNION SELECT fl.y, fw.comp FROM fw JOIN fl ON fl.x = fw.node),
+fc AS (SELECT node, min(comp) AS component FROM fw GROUP BY node)"""
+
+
+@query(f"WITH RECURSIVE {_FUZZY} SELECT * FROM fz")
 def fuzzy_pairs_first_word(spark: SparkSession, d: str) -> DataFrame:
     """Alike forms with the same first word."""
     return resolve.first_word_pairs(_counts(spark, d))
 
 
-@query()
+@query(f"WITH RECURSIVE {_FUZZY} SELECT component, count(*) AS size, CAST(sum(c.\"count\") AS BIGINT) AS mentions FROM fc JOIN c ON c.form = fc.node GROUP BY component")
 def fuzzy_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Clusters of alike forms."""
     from corpusloom.operators.components import components
@@ -294,7 +327,9 @@ def fuzzy_clusters(spark: SparkSession, d: str) -> DataFrame:
     return groups.join(counts, groups["node"] == counts["form"]).groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.sum("count").alias("mentions"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_FUZZY}, rw AS (SELECT occupation, {m.sql_trim('lower(raw_skill)')} AS node FROM norm_map WHERE raw_skill IS NOT NULL AND occupation IS NOT NULL),
+sh AS (SELECT node, max(n / total) AS share FROM (SELECT occupation, node, count(*) AS n, sum(count(*)) OVER (PARTITION BY occupation) AS total FROM rw GROUP BY occupation, node) GROUP BY node)
+SELECT component, max(share)::DOUBLE AS share, count(*) AS size FROM fc JOIN sh USING (node) GROUP BY component HAVING max(share) >= 0.05""")
 def review_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Clusters with a member that 5 % of the rows of an occupation hold."""
     from corpusloom.operators.components import components
@@ -333,7 +368,16 @@ def exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return duplicates.exact_classes(table(spark, d, "documents"), "doc_id", "text")
 
 
-@query()
+_NEAR = f"""w AS (SELECT doc_id, flat, list_filter(string_split(regexp_replace(flat, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM (SELECT doc_id, {m.sql_flat('text')} AS flat FROM documents WHERE text IS NOT NULL)),
+head AS (SELECT flat, min(doc_id) AS d FROM w GROUP BY flat),
+s AS (SELECT doc_id AS d, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w WHERE len(w) > 0 AND doc_id IN (SELECT d FROM head)),
+e AS (SELECT d, len(s) AS n, unnest(s) AS h FROM s),
+l AS (SELECT a.d AS x, b.d AS y FROM e a JOIN e b ON a.h = b.h AND a.d <> b.d GROUP BY a.d, b.d, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+r AS (SELECT d AS node, d AS comp FROM head UNION SELECT l.y, r.comp FROM r JOIN l ON l.x = r.node),
+cc AS (SELECT node, min(comp) AS comp FROM r GROUP BY node)"""
+
+
+@query(f"WITH RECURSIVE {_NEAR} SELECT doc_id, cc.comp AS class_id FROM w JOIN head USING (flat) JOIN cc ON cc.node = head.d")
 def near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     """Classes of near copies, five words, similarity 0.8."""
     return duplicates.near_classes(table(spark, d, "documents"), "doc_id", "text")

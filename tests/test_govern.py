@@ -18,6 +18,9 @@ def test_type_votes(spark):
     assert (row["type"], row["stable"], row["source"]) == ("tool", False, "model")
     row = vote(spark, "tool", "method", "practice")
     assert (row["type"], row["abstain"], row["held_reason"]) == ("", True, "type_tie")
+    row = vote(spark, "tool", None, None)
+    assert (row["type"], row["held_reason"], row["source"], row["confidence"], row["run_variants"]) == ("", "insufficient_evidence", "model_unresolved", 0.0, "tool")
+    assert vote(spark, "tool", "method", "tool")["run_variants"] == "tool/method/tool"
     row = vote(spark, "tool", "tool", "tool", abstain=(True, True, False), why=("ambiguous", "ambiguous", None))
     assert (row["held_reason"], row["source"], row["stable"]) == ("ambiguous", "model_held", True)
 
@@ -26,7 +29,7 @@ def test_category_votes(spark):
     rows = [("x", 1, ["a", "b"], "a", False), ("x", 2, ["b", "a"], "b", False), ("x", 3, ["c"], "b", False), ("y", 1, [], None, True), ("y", 2, [], None, True), ("y", 3, ["a"], "a", False)]
     got = {r["c"]: r for r in govern.category_votes(spark.createDataFrame(rows, "c string, run int, categories array<string>, primary string, unassigned boolean"), "c").collect()}
     assert got["x"]["categories"] == "b|a" and got["x"]["primary_category"] == "b" and not got["x"]["stable"]
-    assert got["y"]["unassigned"] and got["y"]["categories"] == ""
+    assert got["y"]["unassigned"] and got["y"]["categories"] == "" and got["y"]["run_variants"] == "UNASSIGNED | UNASSIGNED | a"
 
 
 def test_pair_key_has_no_order(spark):
@@ -48,6 +51,28 @@ def test_partition_check(spark):
     members = spark.createDataFrame([("g", "L", "a"), ("g", "M", "a"), ("g", "", "z")], "group_id string, label string, form string")
     got = {(r["form"], r["problem"]) for r in govern.partition_problems(members, inputs).collect()}
     assert got == {("b", "missing"), ("z", "invented"), ("a", "in two concepts"), ("z", "empty label")}
+    rows = [("g", "L", "a", "product_and_technology"), ("g", "L", "b", "product_and_technology"), ("g", "M", None, "no_vendor")]
+    members = spark.createDataFrame(rows, "group_id string, label string, form string, vendor_relation string")
+    assert {(r["form"], r["problem"]) for r in govern.partition_problems(members, inputs).collect()} == {("L", "merged product and technology"), ("M", "no members")}
+    row = govern.partition_ledger(members, inputs).first()
+    assert (row["status"], row["reason"], row["forms"]) == ("failed", "no members", "M")
+    assert govern.partition_ledger(members.where("label = 'L'").drop("vendor_relation"), inputs).first()["status"] == "ok"
+
+
+def test_retries_and_transport():
+    calls = []
+
+    def call():
+        calls.append(1)
+        if len(calls) == 1:
+            raise ValueError
+        return len(calls)
+
+    assert govern.with_retries(call, lambda n: n >= 3, 3, lambda n: 0) == 3
+    assert govern.with_retries(call, lambda n: False, 2, lambda n: 0) == 5
+    assert govern.transport(199, 200) == "standard" and govern.transport(200, 200) == "batch"
+    with pytest.raises(ValueError):
+        govern.same_version("a", "b")
 
 
 def test_corrections_must_meet_one_row(spark):

@@ -29,7 +29,9 @@ def test_components(spark):
     nodes = list(range(80))
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(i, i + 1) for i in range(60, 79)]
     df = spark.createDataFrame(edges, "a long, b long")
-    got = {r["node"]: r["component"] for r in g.components(df, "a", "b", spark.createDataFrame([(n,) for n in nodes], "node long")).collect()}
+    alone = spark.createDataFrame([(n,) for n in nodes], "node long")
+    got = {r["node"]: r["component"] for r in g.components(df, "a", "b", alone).collect()}
+    assert got == {r["node"]: r["component"] for r in g.components(df, "a", "b", alone, local_edges=0).collect()}
     assert got == union_find(nodes, edges)
 
 
@@ -106,3 +108,41 @@ def test_drift(spark):
     after = spark.createDataFrame([("p", "b"), ("p", "c"), ("r", "x")], "parent string, child string")
     row = g.drift(before, after).collect()
     assert len(row) == 1 and row[0]["drift"] == pytest.approx(0.6667) and (row[0]["lost"], row[0]["won"]) == (1, 1)
+
+
+def test_long_chains_settle_in_rounds(spark):
+    df = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(900, 900)], "a long, b long")
+    got = {r["node"]: r["component"] for r in g.components(df, "a", "b", local_edges=0).collect()}
+    assert got == {k: 0 for k in range(301)} | {900: 900}
+
+
+def test_large_ads_give_the_same_pairs(spark):
+    from corpusloom.operators import adjacency
+
+    facts = spark.createDataFrame([("y", "o", f"p{p}", f"c{c:02}") for p in range(4) for c in range(3 + 9 * p)], "year string, occupation string, posting_id string, concept_id string")
+    ads = spark.createDataFrame([("y", "o", 4)], "year string, occupation string, n_ads long")
+    whole, cut = ({tuple(r) for r in adjacency.joint_counts(facts, ads, False, block=b).collect()} for b in (512, 4))
+    assert whole == cut and len(whole) == 30 * 29 // 2
+
+
+def test_first_word_pairs_against_brute_force(spark):
+    import itertools
+    import random
+
+    from corpusloom.operators import resolve
+
+    rng = random.Random(3)
+    forms = sorted({" ".join(rng.choice("data date dates model models modeling tool tools big ops a".split()) for _ in range(rng.randrange(1, 5))) for _ in range(120)})
+    df = spark.createDataFrame([(f, 2) for f in forms], "form string, count long")
+    scores = {(a, b): resolve.token_set_ratio(a, b) for a, b in itertools.combinations(forms, 2) if a.split()[0] == b.split()[0]}
+    for hot in (5_000, 7):
+        got = {(r["a"], r["b"]): round(r["score"], 6) for r in resolve.first_word_pairs(df, 80, hot=hot).collect()}
+        assert got == {k: round(v, 6) for k, v in scores.items() if v >= 80}
+
+
+def test_numbers_without_gaps(spark):
+    from corpusloom.operators.numbering import numbered
+
+    got = {r["id"]: r["number"] for r in numbered(spark.range(500).repartition(5), F.desc("id")).collect()}
+    assert got == {k: 499 - k for k in range(500)}
+    assert numbered(spark.range(0), "id").count() == 0

@@ -5,8 +5,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom import runtime
 from corpusloom.operators import cells
 from corpusloom.plans import pipeline
+from corpusloom.queries.policies import SOUND, changed
 from corpusloom.sources import files, policy
 from corpusloom.streaming import ingest
 
@@ -33,12 +35,47 @@ def test_graph_files(spark, tmp_path):
     assert doc["nodes"] == [{"concept_id": "a", "count": 1}] and doc["edges"][0]["target"] == "b"
 
 
-def test_batch_state_survives(tmp_path):
-    state = files.BatchState(tmp_path / "s.json")
+def test_broken_ads_are_not_lost(spark, tmp_path):
+    folder = tmp_path / "2026"
+    folder.mkdir()
+    (folder / "a.jsonl").write_text('{"id":"1"}\n{broken\n{"job_title":"no id"}\n')
+    with pytest.raises(Exception, match="no ad with an id"):
+        files.read_ads(spark, str(tmp_path)).collect()
+    kept = files.read_ads(spark, str(tmp_path), broken="keep").collect()
+    assert {r["broken"] for r in kept} == {None, "{broken", '{"job_title":"no id"}'} and len(kept) == 3
+    with pytest.raises(ValueError):
+        files.read_ads(spark, str(tmp_path), broken="drop")
+
+
+def test_batch_state_survives(spark, tmp_path):
+    path = str(tmp_path / "s")
+    state = files.BatchState(spark, path)
     state.submitted("b1", {"x": "y"})
-    assert files.BatchState(tmp_path / "s.json").open() == ["b1"]
+    state.submitted("b2", {})
+    assert files.BatchState(spark, path).open() == ["b1", "b2"]
     state.saved("b1")
-    assert files.BatchState(tmp_path / "s.json").open() == []
+    assert files.BatchState(spark, path).open() == ["b2"]
+    assert {r["name"]: r["ids"] for r in state.state().collect()} == {"b1": {"x": "y"}, "b2": {}}
+
+
+def test_shared_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runtime, "shared_folder", lambda _: f"file://{tmp_path}/shared")
+    assert runtime.written(spark.range(3)).count() == 3
+    assert list((tmp_path / "shared").rglob("*.parquet"))
+    runtime.forget(spark)
+    assert not list((tmp_path / "shared").rglob("*.parquet"))
+
+
+def test_folder_is_required_on_a_cluster():
+    class Context:
+        master = "spark://host"
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        runtime.shared_folder(Session())
 
 
 def test_vector_cache_checks_shape(spark, tmp_path):
@@ -55,7 +92,10 @@ def test_config_needs_a_version(tmp_path):
         files.load_config(tmp_path / "c.json")
     (tmp_path / "c.toml").write_text('version = "1"\n')
     assert files.load_config(tmp_path / "c.toml")["version"] == "1"
+    (tmp_path / "c.yml").write_text("version: 2.1\nrules: {a: b}\n")
+    assert files.load_config(tmp_path / "c.yml") == {"version": 2.1, "rules": {"a": "b"}}
     assert files.content_hash({"a": 1, "b": 2}) == files.content_hash({"b": 2, "a": 1})
+    assert files.versions_hash({"b": "2", "a": "1"}) == files.versions_hash({"a": "1", "b": "2"}) != files.versions_hash({"a": "2", "b": "1"})
 
 
 def test_heat_table():
@@ -63,21 +103,17 @@ def test_heat_table():
     assert "a&lt;b" in page and "#ffffff" in page and "#b22234" in page
 
 
-POLICY = {
-    "version": "1", "level4": {"parent_stoplist": [], "content_stopwords": [], "stopword_only_edges": "related"},
-    "acronym_scan": {"min_gain_mentions": 10, "dominance_ratio": 5.0}, "review": {"scatter_top_k": 30, "closure_top_k": 30},
-    "tests": {"drift": {"ratio": 1.2, "floor": 0.02, "ceiling": 0.4}, "known_occupations": ["a"]}, "bounds": {"edges": [1, 9]},
-}
-
-
-def test_policy():
-    p = policy.Policy(POLICY)
-    assert [p.drift_limit(x) for x in (0.01, 0.10, 0.50)] == pytest.approx([0.02, 0.12, 0.4])
-    assert p.bounds("edges") == (1.0, 9.0) and p.needs_new_baseline({"a", "b"}) and not p.needs_new_baseline({"a"})
-    with pytest.raises(policy.PolicyError):
-        policy.Policy({**POLICY, "bounds": {"edges": [3]}})
-    with pytest.raises(policy.PolicyError):
-        policy.Policy({k: v for k, v in POLICY.items() if k != "review"})
+def test_policy(tmp_path):
+    p = policy.ResolverPolicy(SOUND)
+    assert [p.allowed_drift(x) for x in (0.01, 0.10, 0.50)] == pytest.approx([0.02, 0.12, 0.4])
+    assert p.within("rollup_edges", 10) and not p.within("rollup_edges", 91)
+    assert p.unknown_occupations({"a", "b"}) == {"b"} and p["review.must_read"] == "union"
+    with pytest.raises(policy.InvalidPolicy, match="level1.version is missing"):
+        policy.ResolverPolicy(changed(SOUND, "level1.version", drop=True))
+    with pytest.raises(policy.InvalidPolicy):
+        p["no.such.key"]
+    (tmp_path / "p.yml").write_text(json.dumps(SOUND))
+    assert policy.read_policy(tmp_path / "p.yml").stamp() == {"policy_version": "1", "policy_hash": files.file_hash(tmp_path / "p.yml")}
 
 
 def test_whole_run(spark):
