@@ -68,8 +68,18 @@ def edit_distance(a: str, b: str, most: int) -> int:
         return most + 1
     if a == b:
         return 0
+    # What both begin and end with costs nothing; slips are local, so little is left.
+    start, least = 0, min(len(a), len(b))
+    while start < least and a[start] == b[start]:
+        start += 1
+    end = 0
+    while end < least - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[start : len(a) - end], b[start : len(b) - end]
     if not a or not b:
         return max(len(a), len(b))
+    if len(a) == len(b) == 1:
+        return 1
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | (1 << i)
@@ -124,6 +134,7 @@ class NearWords:
         for word in words:
             for form in set(shortened(word, word_slips(word, True) if len(word) > 2 else 0)):
                 self.made.setdefault(form, []).append(word)
+        self.forms = frozenset(self.made)
         self.within = lru_cache(maxsize=200_000)(self._within)
 
     def near(self, word: str, more: bool = False) -> tuple[tuple[str, int], ...]:
@@ -133,10 +144,10 @@ class NearWords:
     def _within(self, word: str, most: int) -> tuple[tuple[str, int], ...]:
         if len(word) > self.longest + most:
             return ()
-        get = self.made.get
-        met = {w for form in shortened(word, most) for w in get(form, ())}
-        if not met:
+        hits = self.forms.intersection(shortened(word, most))
+        if not hits:
             return ()
+        met = {w for form in hits for w in self.made[form]}
         found = ((w, edit_distance(word, w, most)) for w in met)
         return tuple(sorted((x for x in found if x[1] <= most), key=lambda x: (x[1], x[0])))
 
