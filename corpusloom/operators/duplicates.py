@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text
 from corpusloom.operators.components import components
+from corpusloom.operators.joins import HOT, met_pairs
 from corpusloom.runtime import spread, written
 
 
@@ -32,7 +33,7 @@ def shingles(df: DataFrame, body: str, words: int = 5) -> DataFrame:
     return df.withColumn("w", w).where(n > 0).withColumn("s", F.array_distinct(F.transform(runs, lambda x: F.xxhash64(x)))).drop("w")
 
 
-def near_classes(df: DataFrame, row_id: str, body: str, words: int = 5, least: float = 0.8, hot: int = 5_000) -> DataFrame:
+def near_classes(df: DataFrame, row_id: str, body: str, words: int = 5, least: float = 0.8, hot: int = HOT) -> DataFrame:
     """``(row_id, class_id)``: texts linked by shingle similarity of ``least`` or more.
 
     Exact: copies collapse first; of each distinct text only its rarest
@@ -55,14 +56,9 @@ def near_classes(df: DataFrame, row_id: str, body: str, words: int = 5, least: f
         .where(F.col("r") <= F.col("n") - F.ceil(F.lit(least) * F.col("n") - F.lit(1e-9)) + 1)
         .select("h", "d", "n")
     )
-    # A shingle that many prefixes hold is cut into salts on one side and repeated on the other.
-    prefix = written(prefix, "prefix")
-    salts = prefix.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("h", F.ceil(F.col("c") / F.lit(hot)).cast("int").alias("salts"))
-    salted = prefix.join(salts, "h")
-    one = salted.select("h", "d", "n", F.pmod(F.xxhash64("d"), "salts").cast("int").alias("salt"))
-    other = salted.select("h", F.col("d").alias("e"), F.col("n").alias("m"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    ratio = F.least("n", "m") / F.greatest("n", "m")
-    pairs = one.join(other, ["h", "salt"]).where((F.col("d") < F.col("e")) & (ratio >= least - 1e-9)).select("d", "e").distinct()
+    met = met_pairs(written(prefix, "prefix"), "h", "d", "n", hot=hot)
+    ratio = F.least("a_n", "b_n") / F.greatest("a_n", "b_n")
+    pairs = met.where(ratio >= least - 1e-9).select(F.col("a").alias("d"), F.col("b").alias("e")).distinct()
     # Only ids travel until the pairs are distinct; then the arrays meet them once.
     sized = written(pairs, "pairs").join(reps, "d").join(reps.withColumnsRenamed({"d": "e", "s": "t"}), "e")
     both = F.size(F.array_intersect("s", "t"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text
 from corpusloom.operators.components import components
+from corpusloom.operators.joins import HOT, met_pairs
 
 MOST_STEPS = 10
 
@@ -233,7 +234,7 @@ def acronym_dominance(forms: DataFrame, min_gain: int = 10, ratio: float = 5.0)
     return ranked.select("acronym", "spelled_out", "gain", F.coalesce("next", F.lit(0)).alias("runner_up"), verdict.alias("verdict"))
 
 
-def first_word_pairs(counts: DataFrame, cutoff: int = 88, min_count: int = 2, most_length: int = 60, hot: int = 5_000) -> DataFrame:
+def first_word_pairs(counts: DataFrame, cutoff: int = 88, min_count: int = 2, most_length: int = 60, hot: int = HOT) -> DataFrame:
     """``(a, b, score)``: forms with the same first word and a high token-set ratio.
 
     The ratio is the best of three: of the shared words with all words of
@@ -245,11 +246,7 @@ def first_word_pairs(counts: DataFrame, cutoff: int = 88, min_count: int = 2, mo
     kept = counts.where((F.col("count") >= min_count) & (F.length("form") <= most_length)).select(
         "form", F.split("form", " ")[0].alias("first"), F.array_sort(F.array_distinct(F.filter(F.split("form", r"\s+"), lambda w: w != ""))).alias("t")
     ).where(F.size("t") > 0)
-    salts = kept.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / F.lit(hot)).cast("int").alias("salts"))
-    salted = kept.join(salts, "first")
-    a = salted.select("first", F.col("form").alias("a"), F.col("t").alias("ta"), F.pmod(F.xxhash64("form"), "salts").cast("int").alias("salt"))
-    b = salted.select("first", F.col("form").alias("b"), F.col("t").alias("tb"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    pairs = a.join(b, ["first", "salt"]).where(F.col("a") < F.col("b")).select("a", "b", "ta", "tb")
+    pairs = met_pairs(kept, "first", "form", "t", hot=hot).withColumnsRenamed({"a_t": "ta", "b_t": "tb"})
 
     def letters(words: Column) -> Column:
         return F.length(F.array_join(words, " "))

@@ -203,10 +203,11 @@ def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
     return adjacency.graph_nodes(m.countable(spark, d), m.ads(spark, d), m.TARGET)
 
 
-def _graph(spark: SparkSession, d: str, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges of the graph from one fact table."""
-    nodes = adjacency.graph_nodes(adjacency.countable(facts), m.ads(spark, d), m.TARGET)
-    return nodes.select("occupation", "concept_id"), m.edges(spark, d, True, facts).where(F.col("passes_graph") == 1)
+def _graph(spark: SparkSession, d: str, facts: DataFrame | None = None, ads: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of the graph, from the facts of its year."""
+    facts, ads = facts or m.kept_facts(spark, d, m.TARGET), ads or m.kept_ads(spark, d)
+    nodes = adjacency.graph_nodes(adjacency.countable(facts), ads, m.TARGET)
+    return nodes.select("occupation", "concept_id"), m.edges(spark, d, True, facts, ads).where(F.col("passes_graph") == 1)
 
 
 _DEGREE = f"""WITH {m.SQL_FACTS}{m.SQL_EDGES},
@@ -218,7 +219,7 @@ deg AS (SELECT occupation, c AS concept_id, count(*) AS degree FROM ends GROUP B
 @query(_DEGREE + "SELECT n.occupation, n.concept_id, coalesce(d.degree, 0) AS degree FROM nodes n LEFT JOIN deg d USING (occupation, concept_id)")
 def graph_degree(spark: SparkSession, d: str) -> DataFrame:
     """Edges at each node."""
-    nodes, edges = _graph(spark, d, m.kept_facts(spark, d))
+    nodes, edges = _graph(spark, d)
     return adjacency.degrees(nodes, edges, ["occupation"])
 
 
@@ -249,9 +250,9 @@ out AS (
 @query(_EXPORT + "SELECT * FROM out")
 def graph_export_nodes(spark: SparkSession, d: str) -> DataFrame:
     """Node rows of the export."""
-    facts = m.kept_facts(spark, d)
-    concept_rates = m.rates(spark, d, ("concept",), facts).where(F.col("year") == m.TARGET)
-    nodes, edges = _graph(spark, d, facts)
+    facts, ads = m.kept_facts(spark, d, m.TARGET), m.kept_ads(spark, d)
+    concept_rates = m.rates(spark, d, ("concept",), facts, ads)
+    nodes, edges = _graph(spark, d, facts, ads)
     return adjacency.export_nodes(nodes, written(edges, "edges"), m.dims(spark, d), m.facets(spark, d), concept_rates)
 
 
@@ -264,7 +265,7 @@ def graph_export_edges(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {m.SQL_FACTS}{m.SQL_EDGES} SELECT n.occupation, n.nodes, coalesce(e.edges, 0) AS edges FROM (SELECT occupation, count(*) AS nodes FROM nodes GROUP BY occupation) n LEFT JOIN (SELECT occupation, count(*) AS edges FROM graph GROUP BY occupation) e USING (occupation)")
 def graph_index(spark: SparkSession, d: str) -> DataFrame:
     """Nodes and edges per occupation."""
-    return adjacency.export_index(*_graph(spark, d, m.kept_facts(spark, d)))
+    return adjacency.export_index(*_graph(spark, d))
 
 
 #: A looser test than the default, so that the small tables have cases.
@@ -272,8 +273,8 @@ LOOSE_Z = 0.674489750196082
 
 
 def _anchors(spark: SparkSession, d: str) -> DataFrame:
-    facts = m.kept_facts(spark, d)
-    changes, edges = m.changes(spark, d, ("concept",), facts), m.edges(spark, d, True, facts)
+    facts, ads = m.kept_facts(spark, d), m.kept_ads(spark, d)
+    changes, edges = m.changes(spark, d, ("concept",), facts, ads), m.edges(spark, d, True, facts, ads)
     return adjacency.replacement_anchors(written(changes, "changes"), written(edges, "edges"), m.BASE, m.TARGET, None, 0.10, LOOSE_Z)
 
 

@@ -62,31 +62,37 @@ def facts(spark: SparkSession, d: str) -> DataFrame:
 GRAINS = ("concept", "category", "type", "facet")
 
 
-def kept_facts(spark: SparkSession, d: str) -> DataFrame:
-    """The fact table, written once for the several branches that read it."""
-    return written(facts(spark, d), "facts")
+def kept_facts(spark: SparkSession, d: str, year: str | None = None) -> DataFrame:
+    """The fact table, or one year of it, written once for the several branches that read it."""
+    rows = facts(spark, d)
+    return written(rows if year is None else rows.where(F.col("year") == year), "facts")
 
 
-def rates(spark: SparkSession, d: str, grains: tuple[str, ...] = GRAINS, table_: DataFrame | None = None) -> DataFrame:
-    return cells.penetration(kept_facts(spark, d) if table_ is None else table_, ads(spark, d), facets(spark, d), grains)
+def kept_ads(spark: SparkSession, d: str) -> DataFrame:
+    return written(ads(spark, d), "ads")
 
 
-def changes(spark: SparkSession, d: str, grains: tuple[str, ...] = GRAINS, table_: DataFrame | None = None) -> DataFrame:
-    return cells.change_tests(rates(spark, d, grains, table_), ads(spark, d), BASE, TARGET)
+def rates(spark: SparkSession, d: str, grains: tuple[str, ...] = GRAINS, table_: DataFrame | None = None, ads_: DataFrame | None = None) -> DataFrame:
+    return cells.penetration(table_ or kept_facts(spark, d), ads_ or ads(spark, d), facets(spark, d), grains)
+
+
+def changes(spark: SparkSession, d: str, grains: tuple[str, ...] = GRAINS, table_: DataFrame | None = None, ads_: DataFrame | None = None) -> DataFrame:
+    ads_ = ads_ or kept_ads(spark, d)
+    return cells.change_tests(rates(spark, d, grains, table_, ads_), ads_, BASE, TARGET)
 
 
 def countable(spark: SparkSession, d: str) -> DataFrame:
     return adjacency.countable(kept_facts(spark, d))
 
 
-def edges(spark: SparkSession, d: str, prune: bool = True, table_: DataFrame | None = None) -> DataFrame:
-    used = adjacency.countable(kept_facts(spark, d) if table_ is None else table_)
-    pairs = adjacency.joint_counts(used, ads(spark, d), prune)
+def edges(spark: SparkSession, d: str, prune: bool = True, table_: DataFrame | None = None, ads_: DataFrame | None = None) -> DataFrame:
+    used = adjacency.countable(table_ or kept_facts(spark, d))
+    pairs = adjacency.joint_counts(used, ads_ or ads(spark, d), prune)
     return adjacency.flagged(adjacency.measured(pairs), TARGET).drop("_lift", "_geo")
 
 
 def graph_edges(spark: SparkSession, d: str) -> DataFrame:
-    return edges(spark, d).where(F.col("passes_graph") == 1)
+    return edges(spark, d, table_=kept_facts(spark, d, TARGET)).where(F.col("passes_graph") == 1)
 
 
 def skill_forms(spark: SparkSession, d: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text
 from corpusloom.operators import components as g
 from corpusloom.operators import resolve
+from corpusloom.operators.joins import met_pairs
 from corpusloom.queries import domain as m
 from corpusloom.queries.registry import query
 from corpusloom.runtime import written
@@ -44,9 +45,10 @@ j AS (
 
 
 def _judged(spark: SparkSession, d: str) -> DataFrame:
+    """Every pair of forms that shares a word, with what speaks against it: a report on pairs, so it gives them all."""
     forms = written(m.skill_forms(spark, d), "forms")
-    content = forms.select("form", F.explode(text.content_tokens(F.col("form"), m.STOPWORDS)).alias("w"))
-    near = content.select(F.col("form").alias("a"), "w").join(content.select(F.col("form").alias("b"), "w"), "w").where("a < b").select("a", "b").distinct()
+    content = written(forms.select("form", F.explode(text.content_tokens(F.col("form"), m.STOPWORDS)).alias("w")), "content")
+    near = met_pairs(content, "w", "form").distinct()
     return resolve.judged_edges(near, forms, m.STOPWORDS, m.PARENT_STOP)
 
 
