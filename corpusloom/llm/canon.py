@@ -428,12 +428,23 @@ def _matcher(key: str, make: Callable[[], Matcher]) -> Matcher:
 
 
 def _beside(matcher: Matcher, words: list[str]) -> tuple[int | str | None, list[str]]:
-    """The entry of the longest mention and the whole words beside it; of a single word what is left of it."""
+    """The entry of the one longest mention and what is left beside it, without numbers.
+
+    A piece of a word bears a mark, so that it is no frame word, unless the
+    value is a single word.
+    """
     mentions = matcher.mentions(words)
-    if not mentions:
+    if not mentions or len(mentions) > 1 and mentions[0].length == mentions[1].length:
         return None, []
     whole = set(words)
-    return mentions[0].key, [w for w in dict.fromkeys(mentions[0].left) if w in whole or len(words) == 1 and len(w) > 1]
+    left = [w for w in dict.fromkeys(mentions[0].left) if not _NUMBER.fullmatch(w)]
+    return mentions[0].key, [w if w in whole or len(words) == 1 and len(w) > 1 else _PIECE + w for w in left]
+
+
+#: Marks a piece of a word; no folded word holds it.
+_PIECE = " "
+#: So many frame words at most are looked up in a plan; more are left to the workers.
+PLANNED_FRAME = 5_000
 
 
 def _bounded(df: DataFrame, most: int, what: str) -> list:
@@ -522,13 +533,17 @@ def map_values(
     met = seen.where(F.col("k").isNotNull())
     n_entries = met.agg(F.countDistinct("k")).first()[0]
     beside = (
-        met.select("k", F.explode("left").alias("w")).distinct().groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+        met.select("k", F.explode("left").alias("w")).where(~F.startswith("w", F.lit(_PIECE))).distinct().groupBy("w").agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= max(FRAME_LEAST, FRAME_SHARE * n_entries))
     )
     learned = frame_of([tuple(r) for r in _bounded(beside, MOST_WORDS, "frame words")], n_entries, owner) | frozenset(frame)
 
     none = F.lit(NONE).cast(kinds[1])
     if shards == 1:
+        # Where nothing but the frame stands beside the one longest mention, that is the answer.
+        planned = sorted(learned) if len(learned) <= PLANNED_FRAME else []
+        framed = F.col("k").isNotNull() & (F.size(F.array_except("left", F.lit(planned).cast("array<string>"))) == 0)
+        seen = seen.withColumn("e", F.coalesce("e", F.when(framed, F.col("k"))))
         whole = seen.where(F.col("e").isNotNull()).select("v", "e")
         open_values = seen.where(F.col("e").isNull()).select("v")
     else:
