@@ -125,14 +125,13 @@ leider derzeit momentan aktuell gerade bitte lamentablemente actualmente desgrac
 
 #: Words of a text that speaks about slots rather than having one.
 TALK_OF_SLOTS = """
-template templates templating placeholder placeholders variable variables interpolation interpolate syntax operator operators
-macro macros handlebars mustache jinja liquid printf bash regex constructor
+template templates templating placeholder placeholders interpolation interpolate syntax macro macros handlebars mustache jinja liquid printf bash regex constructor
 vorlage vorlagen platzhalter plantilla plantillas gabarit gabarits
 """
 
 #: Further words of a text that speaks about code, where an odd value is no gap.
 TALK = """
-expression expressions statement statements string strings literal literals method methods class classes function functions
+variables expression expressions statement statements string strings literal literals method methods classes functions
 behaviour behavior null nullable shell css attribute attributes decorator decorators notebook notebooks escape escaping parser
 parsers arrays maps generics
 """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,16 +198,29 @@ SELECT DISTINCT form_id, min(form_id) OVER (PARTITION BY seen) AS class_id, coun
 """
 
 
+def _entities() -> str:
+    """Names of HTML entities and their characters as a map, from the library's own table."""
+    known = [(name, shown) for name, shown in sorted(html5.items()) if name.endswith(";")]
+    return f"MAP {{{', '.join(f'{_quoted(chr(38) + name)}: {_quoted(shown)}' for name, shown in known)}}}"
+
+
 def _p7_words(column: str) -> str:
     unseen = "[" + "".join(chr(low) if low == high else f"{chr(low)}-{chr(high)}" for low, high in surface.IGNORABLE_RANGES if high < 0xE0000) + "]"
-    text = f"regexp_replace({column}, {_quoted(unseen)}, '', 'g')"
-    text = f"regexp_replace({text}, '</?[a-zA-Z][^<>]*>', ' ', 'g')"
-    text = f"regexp_replace({text}, '&([a-zA-Z]+|#[0-9]+|#x[0-9a-fA-F]+);', ' ', 'g')"
-    return f"regexp_extract_all(lower(nfc_normalize({text})), '[\\p{{L}}\\p{{N}}]+')"
+
+    def each(text: str, pattern: str, character: str) -> str:
+        """Every entity of a pattern by its character; ``e`` is the entity."""
+        return f"list_reduce(list_prepend({text}, list_distinct(regexp_extract_all({text}, '{pattern}'))), lambda t, e: replace(t, e, {character}))"
+
+    bare = f"regexp_replace({column}, '</?[a-zA-Z][^<>]*>', ' ', 'g')"
+    named = each("t1", "&[a-zA-Z][a-zA-Z0-9]*;", "coalesce(entities[e], ' ')")
+    numbered = each("t2", "&#[0-9]{1,6};", "chr(CAST(substring(e, 3, length(e) - 3) AS INTEGER))")
+    hexed = each("t3", "&#[xX][0-9a-fA-F]{1,5};", "chr(CAST('0x' || substring(e, 4, length(e) - 4) AS INTEGER))")
+    words = f"regexp_extract_all(lower(nfc_normalize(regexp_replace(t4, {_quoted(unseen)}, '', 'g'))), '[\\p{{L}}\\p{{N}}]+')"
+    return f"(SELECT {words} FROM (SELECT {hexed} AS t4 FROM (SELECT {numbered} AS t3 FROM (SELECT {named} AS t2 FROM (SELECT {bare} AS t1) x1, names) x2) x3) x4)"
 
 
 _P7 = f"""
-WITH d AS (SELECT doc_id, {_p7_words('text')} AS w FROM documents WHERE text IS NOT NULL),
+WITH names AS (SELECT {_entities()} AS entities), d AS (SELECT doc_id, {_p7_words('text')} AS w FROM documents WHERE text IS NOT NULL),
 i AS (SELECT item_id, {_p7_words('text')} AS w FROM eval_item WHERE text IS NOT NULL),
 dp AS (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS p FROM d WHERE len(w) >= 12),
 ip AS (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS p FROM i WHERE len(w) >= 12),

@@ -75,7 +75,7 @@ def test_wordings_the_exemplars_were_widened_for():
 
 
 def test_talk_of_code_is_no_gap():
-    found = ["Sorry, the content you requested has been removed", "Your browser has cookies and scripts turned off", "Your text could be here", "FIXME describe role", "The resource cannot be located"]
+    found = ["Sorry, the content you requested has been removed", "Your browser has cookies and scripts turned off", "Your text could be here", "FIXME describe role", "The resource cannot be located", "Our group needs an images operator with #{benefit}"]
     talk = ["call __init__ of the class", "C++ uses << operator and >> operator", "Set %%timeit in the notebook %%", "Write handlebars such as {{ name }} and bash like ${HOME}", "Undefined behaviour", "Strings such as xxx or %s"]
     labels = residue.label_all(found + talk + CONTENT)
     assert all(labels[: len(found)]) and not any(labels[len(found) :])

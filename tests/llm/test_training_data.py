@@ -325,6 +325,21 @@ def test_words_of_marked_up_text():
     ]
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "d&eacute;veloppement infor&shy;mation caf&#233; &#xE9;t&#XE9; a&nbsp;b x&amp;y p&nosuch;q &lt;b&gt;", "one <a title='" + "x " * 300 + "'>two</a> &thickapprox; z",
+        "a&CounterClockwiseContourIntegral;b", "", "  ", "Zero\u200bwidth ÉTÉ e\u0301",
+    ],
+)
+def test_sql_of_words_is_the_code(text):
+    duckdb = pytest.importorskip("duckdb")
+    from corpusloom.llm import queries
+
+    sql = f"WITH names AS (SELECT {queries._entities()} AS entities) SELECT {queries._p7_words('t')} FROM (SELECT ? AS t) s"
+    assert duckdb.connect().execute(sql, [text]).fetchone()[0] == leak.words_of(text)
+
+
 def test_wand_loses_nothing():
     rng = random.Random(8)
     items = [(k, " ".join(rng.choice("abcdefghijklmnop") for _ in range(20))) for k in range(70)]
