@@ -81,17 +81,76 @@ def nearest(vectors: DataFrame, row_id: str, vector: str, k: int, block: int = 4
     Brute force, as the operator asks for: every vector against all others.
     Vectors lie in blocks; a task multiplies two blocks and hands on the best k
     per row only, so no pair outside them is ever a row.  Of equal similarity
-    (6 digits) the smaller id comes first.
+    (6 digits) the smaller id comes first.  For many vectors see ``nearest_probed``.
     """
-    kind = dict(vectors.dtypes)[row_id]
     rows = vectors.select(F.col(row_id).alias("id"), F.col(vector).alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
     parts = max(1, -(-rows.count() // block))
-    blocks = written(
-        rows.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).groupBy("g").agg(F.collect_list(F.struct("id", "v")).alias("m")), "blocks"
-    )
+    blocks = written(_blocks(rows.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), ["g"]), "blocks")
     # Pairs of block numbers, not of rows.
     left = blocks.select(F.col("g").alias("gl"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("g"))
-    work = left.join(blocks, "g").withColumnsRenamed({"g": "gr", "m": "right"}).join(blocks.withColumnsRenamed({"g": "gl", "m": "left"}), "gl")
+    work = left.join(blocks, "g").withColumnRenamed("m", "right").join(blocks.withColumnsRenamed({"g": "gl", "m": "left"}), "gl")
+    return _links(_best(work, dict(vectors.dtypes)[row_id], k, max(parts, 1) ** 2 if parts < 64 else 4096))
+
+
+def nearest_probed(
+    vectors: DataFrame, row_id: str, vector: str, k: int, lists: int | None = None, probes: int = 12, sample: int = 20_000, block: int = 4096, seed: int = 7
+) -> DataFrame:
+    """The links of ``nearest``, found among the lists that each vector is nearest to; not all of them.
+
+    ``lists`` centres (default: about the root of the number of vectors) are
+    fitted on ``sample`` vectors at most, picked by hash; every vector is filed
+    under its nearest centre and compared with those of its ``probes`` nearest
+    ones, so the work grows with ``n ** 1.5``.  Long lists are cut into blocks,
+    nothing is left out of one.  Recall against brute force is measured in the
+    tests (0.9 or more on the test vectors with the defaults).
+    """
+    rows = written(vectors.select(F.col(row_id).alias("id"), F.col(vector).alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull()), "vectors")
+    size = rows.count()
+    if not size:
+        return nearest(vectors, row_id, vector, k, block)
+    lists = min(lists or max(1, round(size**0.5)), size)
+    picked = rows.orderBy(F.xxhash64("id", F.lit(seed))).limit(sample).select("v").collect()
+    centres = rows.sparkSession.sparkContext.broadcast(_centres(_unit(picked), lists, seed))
+    asked = min(probes, lists)
+    kind = dict(vectors.dtypes)[row_id]
+
+    def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            near = np.argsort(-(_unit([{"v": v} for v in batch["v"]]) @ centres.value.T), axis=1, kind="stable")[:, :asked]
+            yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "near": list(near.astype(np.int32))})
+
+    filed = written(rows.mapInPandas(file, f"id {kind}, v {dict(vectors.dtypes)[vector]}, near array<int>"), "filed")
+    base = filed.select("id", "v", F.element_at("near", 1).alias("list"))
+    parts = base.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("parts"))
+    cut = base.join(F.broadcast(parts), "list").withColumn("g", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    kept = written(_blocks(cut, ["list", "g"]), "blocks").withColumnRenamed("m", "right")
+    asking = filed.select("id", "v", F.explode("near").alias("list"))
+    shares = asking.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("shares"))
+    queries = _blocks(asking.join(F.broadcast(shares), "list").withColumn("q", F.pmod(F.xxhash64("id"), "shares").cast("int")), ["list", "q"])
+    work = queries.withColumnRenamed("m", "left").join(kept, "list")
+    return _links(_best(work, kind, k, min(4096, 4 * lists)))
+
+
+def _centres(unit: np.ndarray, lists: int, seed: int, rounds: int = 12) -> np.ndarray:
+    """Centres of ``lists`` clusters of unit vectors, by rounds of nearest centre and mean."""
+    rng = np.random.default_rng(seed)
+    centres = unit[rng.choice(len(unit), size=min(lists, len(unit)), replace=False)]
+    for _ in range(rounds):
+        own = np.argmax(unit @ centres.T, axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, unit)
+        filled = np.linalg.norm(sums, axis=1) > 0
+        centres[filled] = sums[filled] / np.linalg.norm(sums[filled], axis=1, keepdims=True)
+    return centres
+
+
+def _blocks(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``(by..., m)``: the rows of a block as one list; callers bound its length."""
+    return rows.groupBy(*by).agg(F.collect_list(F.struct("id", "v")).alias("m"))
+
+
+def _best(work: DataFrame, kind: str, k: int, tasks: int) -> DataFrame:
+    """``(id, other, s)``: the best k of ``right`` for each row of ``left``, per pair of blocks."""
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -105,9 +164,12 @@ def nearest(vectors: DataFrame, row_id: str, vector: str, k: int, block: int = 4
                 out = pd.DataFrame({"id": np.repeat(ids, keep.shape[1]), "other": others[keep].ravel(), "s": near.ravel()})
                 yield out[np.isfinite(out["s"])]
 
-    candidates = work.repartition(max(parts, 1) ** 2 if parts < 64 else 4096).select("left", "right").mapInPandas(best, f"id {kind}, other {kind}, s double")
+    found = work.repartition(tasks).select("left", "right").mapInPandas(best, f"id {kind}, other {kind}, s double")
     order = Window.partitionBy("id").orderBy(F.desc("s"), "other")
-    top = candidates.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
+    return found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
+
+
+def _links(top: DataFrame) -> DataFrame:
     return top.groupBy(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).agg(F.max("s").alias("similarity"))
 
 

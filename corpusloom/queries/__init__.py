@@ -16,4 +16,4 @@ def core_oracles() -> dict[str, str]:
 
 
 def _load() -> None:
-    from corpusloom.queries import analytics, files, governance, graphs, policies, strings  # noqa: F401
+    from corpusloom.queries import analytics, files, governance, graphs, policies, streams, strings  # noqa: F401

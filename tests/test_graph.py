@@ -146,3 +146,17 @@ def test_numbers_without_gaps(spark):
     got = {r["id"]: r["number"] for r in numbered(spark.range(500).repartition(5), F.desc("id")).collect()}
     assert got == {k: 499 - k for k in range(500)}
     assert numbered(spark.range(0), "id").count() == 0
+
+
+def test_probed_neighbours_recall(spark):
+    rng = np.random.default_rng(5)
+    heads = rng.normal(size=(30, 24))
+    rows = [(k, [float(x) for x in heads[k % 30] + 0.5 * rng.normal(size=24)]) for k in range(1500)]
+    df = spark.createDataFrame([*rows, (None, [0.0] * 24), (9_999, None)], "id long, v array<double>")
+    exact = {(r["a"], r["b"]) for r in g.nearest(df, "id", "v", 10).collect()}
+    found = {(r["a"], r["b"]): r["similarity"] for r in g.nearest_probed(df, "id", "v", 10).collect()}
+    assert len(exact & set(found)) / len(exact) >= 0.9
+    # With every list asked and lists cut into blocks it is exact.
+    every = {(r["a"], r["b"]) for r in g.nearest_probed(df.limit(300), "id", "v", 5, lists=6, probes=6, block=16).collect()}
+    assert every == {(r["a"], r["b"]) for r in g.nearest(df.limit(300), "id", "v", 5).collect()}
+    assert g.nearest_probed(df.limit(0), "id", "v", 5).count() == 0
