@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from corpusloom.functions import stats
 from corpusloom.operators.cells import BOILERPLATE, CELL
 from corpusloom.operators.numbering import numbered
-from corpusloom.runtime import written
 
 GRAPH_LIFT, HUB_SUPPORT, HUB_LIFT = 1.3, 0.60, 1.05
 GRAPH_PERCENT, GRAPH_LEAST = 3, 3
@@ -44,7 +43,7 @@ def joint_counts(facts: DataFrame, ads: DataFrame, prune: bool = True, block: in
             stats.floor_of(n, GRAPH_PERCENT, GRAPH_LEAST), stats.floor_of(n, ANALYSIS_PERCENT, ANALYSIS_LEAST)
         )
         single = single.where(F.col("count") >= least)
-    single = written(numbered(single, *CELL, "concept_id", name="s"), "singles")
+    single = numbered(single, *CELL, "concept_id", name="s")
     kept = facts.select(*CELL, "posting_id", "concept_id").join(single.select(*CELL, "concept_id", "s"), [*CELL, "concept_id"])
     # Baskets as arrays: one shuffle by ad, pairs are made within the row.
     baskets = kept.groupBy(*CELL, "posting_id").agg(F.array_sort(F.collect_set("s")).alias("c")).where(F.size("c") > 1).select("c")

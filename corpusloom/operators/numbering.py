@@ -12,9 +12,10 @@ def numbered(df: DataFrame, *order: str | Column, name: str = "number") -> DataF
     """``df`` with ``name``: 0, 1, ... in the given order.
 
     Rows sort within ranges of the order; only the sizes of the ranges come
-    together.  The order should leave no ties between different rows.
+    together.  The order should leave no ties between different rows.  ``df`` is
+    written first, as finding the ranges reads it once more.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = written(df, "rows").repartitionByRange(*order).sortWithinPartitions(*order)
     parts = written(ranged.withColumn("_m", F.monotonically_increasing_id()), "ranges")
     part = F.shiftright("_m", 33)
     starts, total = [], 0
